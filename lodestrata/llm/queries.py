@@ -3,13 +3,39 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import simhash
+from . import decontaminate, langid, linededup, mixing, simhash
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return simhash.near_duplicates(_documents(spark, sf_dir))
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    out = F.col("doc_id")
+    model = langid.learn(docs.where(~langid.held_out(out)))
+    return langid.identify(docs, model).select("doc_id", langid.held_out(out).alias("held_out"), "lang_pred", "score")
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = linededup.dedup_lines(_documents(spark, sf_dir).select("doc_id", "text"))
+    return got.select("doc_id", "n_lines", "n_removed", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = mixing.mix(_documents(spark, sf_dir).select("doc_id", "source", "text"), keep_text=False)
+    return got.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-QUERIES = {"op3_simhash": op3_simhash}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op3_simhash, op4_language, op6_line_dedup, op7_mixing, op10_decontamination)}
+ORACLE_SQL = {"op6_line_dedup": linededup.ORACLE, "op7_mixing": mixing.ORACLE, "op10_decontamination": decontaminate.ORACLE}
