@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, linededup, mixing, resample, simhash, tokencount, toxicity
+from . import decontaminate, langid, layout, linededup, media, mixing, resample, simhash, tokencount, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +17,11 @@ def op1_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.resample(_documents(spark, sf_dir), good)
 
 
+def op2_image_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables have no images; every vector of ``embeddings`` is drawn as one."""
+    return media.copies(media.postcards(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))).withColumnRenamed("id", "vec_id")
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_documents(spark, sf_dir))
 
@@ -28,6 +33,11 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, model).select("doc_id", langid.held_out(out).alias("held_out"), "lang_pred", "score")
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = layout.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return got.select("page_id", "text", F.length("text").alias("n_chars"), F.size(F.split("text", "\n")).alias("n_lines"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = linededup.dedup_lines(_documents(spark, sf_dir).select("doc_id", "text"))
     return got.select("doc_id", "n_lines", "n_removed", F.md5(F.col("text").cast("binary")).alias("text_md5"))
@@ -59,5 +69,5 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-QUERIES = {f.__name__: f for f in (op1_importance_resampling, op3_simhash, op4_language, op6_line_dedup, op7_mixing, op8_toxicity, op9_token_counts, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_importance_resampling, op2_image_copies, op3_simhash, op4_language, op5_html_text, op6_line_dedup, op7_mixing, op8_toxicity, op9_token_counts, op10_decontamination)}
 ORACLE_SQL = {"op6_line_dedup": linededup.ORACLE, "op7_mixing": mixing.ORACLE, "op10_decontamination": decontaminate.ORACLE}

@@ -27,7 +27,7 @@ BUCKETS, LENGTH, SMOOTH = 1 << 14, 256, 1.0
 #: Target texts that are learned from, at most, by a hash of the id.
 TARGET_ROWS = 10_000
 #: Share of the rows that the sample keeps.
-KEEP = 0.75
+KEEP = 0.85
 
 
 def ngrams(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
