@@ -6,9 +6,11 @@ documents of a source in key order are a weighted sample without replacement
 complete epochs; what is left of its budget goes to documents in key order until
 their running sum of sizes reaches it, the last one by its leading words only.
 
-No source is ever sorted in one task. Keys fall into bins whose share of a
-source is bounded; sums of (source, bin) give the running sum at each bin's
-edge, and only the bin in which a source's budget ends is put in order.
+No source is ever sorted in one task, and no text is shuffled. Keys fall into
+bins whose share of a source is bounded; sums of (source, bin) give the running
+sum at each bin's edge, and only the bin in which a source's budget ends is put
+in order. That gives each source a last key and what it takes there, by which
+every row decides for itself.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from .linededup import _free
 from .scratch import Scratch
 
 WORD = r"[^\x20\x09-\x0D]+"
+MARKS = r"[\x21-\x2B\x2D\x2F-\x40\x5B-\x60\x7B-\x7E]+"
 #: Shares of sources in code-point order, repeating; budget and cap as multiples of what there is.
 CYCLE, BUDGET, CAP = (5.0, 2.0, 1.0), 1.5, 2.0
 #: Rows of a bin, on average, and the least quality weight.
@@ -31,8 +34,9 @@ def size_of(text: Column) -> Column:
 
 
 def quality_of(text: Column) -> Column:
-    """LEAST to 1: the share of letters and blanks, squared. Junk in marks and digits is drawn later."""
-    q = F.length(F.regexp_replace(text, r"[^A-Za-z \x{C0}-\x{24F}]", "")) / F.nullif(F.length(text), F.lit(0))
+    """LEAST to 1: the share of words among words and runs of odd marks, squared. Junk in marks and digits is drawn later."""
+    words, marks = F.regexp_count(text, F.lit(WORD)), F.regexp_count(text, F.lit(MARKS))
+    q = words / F.nullif(words + marks, F.lit(0))
     return F.greatest(F.lit(LEAST), F.coalesce(q * q, F.lit(0.0)))
 
 
@@ -68,45 +72,42 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
     Every row is returned, with taken 0 to 2 times its size; ``taken // size``
     are whole copies, the rest leading words. A null text has size 0; null is a
-    source of its own, last in order. Ties in key go by id (nulls first), then
-    size, then text hash; equal rows share alike but for the one in which the
-    budget ends. Existing columns of the four names are replaced. ``quality``
-    is a column of weights of LEAST or more. Without ``keep_text`` the text
-    column is dropped. An empty table gives an empty one.
+    source of its own, last in order. Equal ids of one source tie: where the
+    budget ends among them, they share what is left alike. Existing columns of
+    the four names are replaced. ``quality`` is a column of weights of LEAST or
+    more. Without ``keep_text`` the text column is dropped. An empty table gives
+    an empty one.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "mixing")
     docs = docs.drop("size", "source_size", "target", "taken")
     text, rid = F.col(f"`{text_col}`").cast("string"), F.col(f"`{id_col}`")
-    key, tie, at, src = (_free(docs, x) for x in ("mix_key", "mix_tie", "mix_bin", "mix_source"))
+    key, at, src = (_free(docs, x) for x in ("mix_key", "mix_bin", "mix_source"))
     weight = F.greatest(F.lit(LEAST), F.coalesce(quality if quality is not None else quality_of(text), F.lit(LEAST)))
-    keyed = docs.withColumn("size", size_of(text)).withColumn(key, -F.ln(uniform(rid, seed)) / weight).withColumn(tie, F.xxhash64(text)).withColumn(src, F.col(f"`{source_col}`"))
+    keyed = docs.withColumn("size", size_of(text)).withColumn(key, -F.ln(uniform(rid, seed)) / weight).withColumn(src, F.col(f"`{source_col}`"))
     narrow = scratch.put((keyed if keep_text else keyed.drop(text_col)).select(*([src, "size", key] if keep_text else ["*"])), "keys")
 
     bins = max(64, -(-narrow.count() // BIN_ROWS))
     # Equal shares at the least weight; at most 1 / LEAST times as many rows where weights are 1.
-    binned = lambda df: df.withColumn(at, F.floor((F.lit(1.0) - F.exp(-F.col(key) * LEAST)) * bins).cast("long"))
-    sums = scratch.put(binned(narrow).groupBy(src, at).agg(F.sum("size").alias("words")), "bins")
-    per = targets(sums.groupBy(src).agg(F.sum("words").alias("source_size")), src, "source_size", cycle, budget, cap)
-    left = F.floor("target") - F.coalesce(F.floor(F.floor("target") / F.nullif(F.col("source_size"), F.lit(0))), F.lit(0)) * F.col("source_size")
-    per = per.withColumn("_epochs", F.coalesce(F.floor(F.floor("target") / F.nullif(F.col("source_size"), F.lit(0))), F.lit(0)).cast("long")).withColumn("_left", left.cast("long"))
-    upto = F.sum("words").over(Window.partitionBy(src).orderBy(at))
-    edge = sums.withColumn("_upto", upto).withColumnRenamed(src, "_s").join(per.select(F.col(src).alias("_p"), "_left"), F.col("_s").eqNullSafe(F.col("_p")))
-    edge = edge.where("_upto <= _left").groupBy("_s").agg(F.max(at).alias("_full"), F.max("_upto").alias("_before"))
-    per = per.withColumnRenamed(src, "_p").join(edge, F.col("_p").eqNullSafe(F.col("_s")), "left")
-    per = scratch.put(per.select("_p", "source_size", "target", "_epochs", "_left", F.coalesce("_full", F.lit(-1)).alias("_full"), F.coalesce("_before", F.lit(0)).alias("_before")), "sources")
-    # Bins that hold no rows may lie between; the next one with rows is where the budget ends.
-    ends = sums.withColumnRenamed(src, "_s").join(per.select("_p", "_full"), F.col("_s").eqNullSafe(F.col("_p"))).where(F.col(at) > F.col("_full"))
-    ends = ends.groupBy(F.col("_s").alias("_e")).agg(F.min(at).alias("_end"))
-    per = scratch.put(per.join(ends, F.col("_p").eqNullSafe(F.col("_e")), "left").drop("_e"), "ends")
-
-    rows = binned(keyed if keep_text else narrow).join(per, F.col(src).eqNullSafe(F.col("_p")), "left")
-    inside = F.col(at) == F.coalesce("_end", F.lit(-1))
-    plain = rows.where(~inside).withColumn("taken", F.col("size") * (F.col("_epochs") + F.when(F.col(at) <= F.col("_full"), 1).otherwise(0)))
-    by = Window.partitionBy(src).orderBy(key, rid, "size", tie).rowsBetween(Window.unboundedPreceding, -1)
-    before = F.col("_before") + F.coalesce(F.sum("size").over(by), F.lit(0))
-    part = rows.where(inside).withColumn("taken", F.col("size") * F.col("_epochs") + F.least(F.col("size"), F.greatest(F.lit(0), F.col("_left") - before)))
-    out = plain.unionByName(part).withColumn("taken", F.col("taken").cast("long"))
+    binned = narrow.withColumn(at, F.floor((F.lit(1.0) - F.exp(-F.col(key) * LEAST)) * bins).cast("long"))
+    sums = scratch.put(binned.groupBy(src, at).agg(F.sum("size").alias("words")), "bins")
+    per = targets(sums.groupBy(src).agg(F.sum("words").alias("source_size")), src, "source_size", cycle, budget, cap).withColumnRenamed(src, "_s")
+    whole = F.floor("target").cast("long")
+    epochs = F.coalesce(F.floor(whole / F.nullif(F.col("source_size"), F.lit(0))), F.lit(0)).cast("long")
+    per = scratch.put(per.withColumn("_epochs", epochs).withColumn("_left", whole - F.col("_epochs") * F.col("source_size")), "sources")
+
+    same = F.col(src).eqNullSafe(F.col("_s"))
+    ends = sums.withColumn("_upto", F.sum("words").over(Window.partitionBy(src).orderBy(at))).join(per, same).where("_upto > _left")
+    ends = ends.groupBy("_s", "_left").agg(F.min_by(F.struct(F.col(at).alias("at"), (F.col("_upto") - F.col("words")).alias("before")), at).alias("_end"))
+    ends = scratch.put(ends, "ends")
+    last = binned.join(ends, same & (F.col(at) == F.col("_end.at"))).groupBy("_s", "_left", F.col("_end.before").alias("_before"), key).agg(F.sum("size").alias("words"), F.count("*").alias("n"))
+    last = last.withColumn("_upto", F.col("_before") + F.sum("words").over(Window.partitionBy("_s").orderBy(key))).where("_upto > _left")
+    last = last.groupBy(F.col("_s").alias("_l")).agg(F.min_by(F.struct(F.col(key).alias("key"), F.floor((F.col("_left") - F.col("_upto") + F.col("words")) / F.col("n")).alias("each")), key).alias("_last"))
+    per = scratch.put(per.join(last, F.col("_s").eqNullSafe(F.col("_l")), "left").drop("_l"), "last")
+
+    rows = (keyed if keep_text else narrow).join(per, same, "left")
+    part = F.when(F.col(key) < F.col("_last.key"), F.col("size")).when(F.col(key) == F.col("_last.key"), F.least("size", "_last.each")).otherwise(0)
+    out = rows.withColumn("taken", (F.col("size") * F.col("_epochs") + part).cast("long"))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns if keep_text or c != text_col], "size", "source_size", "target", "taken")
 
 
@@ -114,7 +115,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 ORACLE = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         greatest(0.25, coalesce(pow(length(regexp_replace(text, '[^A-Za-z \x{C0}-\x{24F}]', '', 'g'))::DOUBLE / nullif(length(text), 0), 2), 0)) AS q,
+         len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS w,
+         len(regexp_extract_all(text, '[\x21-\x2B\x2D\x2F-\x40\x5B-\x60\x7B-\x7E]+')) AS m,
          (('0x' || substr(md5('mix:' || doc_id::VARCHAR), 1, 12))::BIGINT::DOUBLE + 0.5) / 281474976710656.0 AS u
   FROM documents
 ), s AS (
@@ -131,7 +133,7 @@ WITH d AS (
 ), k AS (
   SELECT d.doc_id, d.size, t.source_size, t.target,
          coalesce(floor(target)::BIGINT // nullif(source_size, 0), 0) AS epochs,
-         coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY -ln(u) / q, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+         coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY -ln(u) / greatest(0.25::DOUBLE, coalesce((w::DOUBLE / nullif(w + m, 0)) * (w::DOUBLE / nullif(w + m, 0)), 0)), doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
 )
 SELECT doc_id, size, source_size, target,
