@@ -56,7 +56,7 @@ def dedup_lines(docs: DataFrame, window: int = 3, id_col: str = "doc_id", text_c
     later = scratch.put(later, "later")
 
     held = F.split(text, "\n")
-    out = docs.withColumn(key, row_key).join(later, key, "left")
+    out = docs.withColumn(key, row_key).join(later.hint("merge"), key, "left")  # later grows with the corpus
     # Where the lines that aren't blank stand; covered lines run from a window's first to its last.
     solid = F.filter(F.transform(held, lambda s, i: F.when(F.btrim(s, F.lit(_BLANK)) != "", i)), lambda i: i.isNotNull())
     out = out.withColumn("n_lines", F.when(text.isNull(), 0).otherwise(F.size(held)))
