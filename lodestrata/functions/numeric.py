@@ -83,7 +83,7 @@ def tanimoto(a: Column, b: Column) -> Column:
     bits = F.least(F.octet_length(F.unbase64(a)), F.octet_length(F.unbase64(b))) * 8 - 32
     masked = F.transform(
         F.filter(F.transform(words, lambda w, i: F.struct(w["a"].alias("a"), w["b"].alias("b"), (bits - i * 64).alias("n"))), lambda w: w["n"] > 0),
-        lambda w: F.struct(*[F.when(w["n"] >= 64, w[k]).otherwise(F.shiftleft(F.shiftrightunsigned(w[k], F.lit(0)), 0).bitwiseAND(_mask(w["n"]))).alias(k) for k in "ab"]),
+        lambda w: F.struct(*[F.when(w["n"] >= 64, w[k]).otherwise(w[k].bitwiseAND(_mask(w["n"]))).alias(k) for k in "ab"]),
     )
     add = lambda f: F.aggregate(masked, F.lit(0), lambda s, p: s + F.bit_count(f(p["a"], p["b"])))
     both, either = add(lambda x, y: x.bitwiseAND(y)), add(lambda x, y: x.bitwiseOR(y))

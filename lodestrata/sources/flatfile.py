@@ -9,6 +9,7 @@ import zipfile
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def records(spark: SparkSession, path: str, separator: str) -> DataFrame:
@@ -25,7 +26,7 @@ def _lines(tag: str) -> Column:
 
 def proteins(blocks: DataFrame) -> DataFrame:
     """(accession, secondary, entry, name, gene, organism, taxon, length, xrefs, functions) of protein records, by tagged lines."""
-    acs = F.filter(F.transform(F.split(_lines("AC"), ";"), F.trim), lambda x: x != "")
+    acs = F.filter(F.transform(F.split(_lines("AC"), ";"), lambda x: F.trim(x)), lambda x: x != "")
     de = _lines("DE")
     one = lambda c, p: F.nullif(F.regexp_extract(c, p, 1), F.lit(""))
     bare = lambda c: F.trim(F.regexp_replace(c, r"\s*\{[^}]*\}", ""))
@@ -63,7 +64,7 @@ def sections(blocks: DataFrame, indent: int = 12) -> DataFrame:
     """(sections map<string, array<string>>): names at a line's start, values after ``indent`` columns, continuation lines without a name."""
     joined = F.regexp_replace("value", rf"\n {{{indent}}}", "\u0001")
     lines = F.filter(F.split(joined, "\n"), lambda x: x.rlike(r"^[A-Z_]+\s"))
-    pairs = F.transform(lines, lambda x: F.struct(F.regexp_extract(x, r"^([A-Z_]+)", 1).alias("k"), F.transform(F.split(F.regexp_replace(x, r"^[A-Z_]+\s+", ""), "\u0001"), F.trim).alias("v")))
+    pairs = F.transform(lines, lambda x: F.struct(F.regexp_extract(x, r"^([A-Z_]+)", 1).alias("k"), F.transform(F.split(F.regexp_replace(x, r"^[A-Z_]+\s+", ""), "\u0001"), lambda v: F.trim(v)).alias("v")))
     first = F.filter(F.transform(pairs, lambda p, i: F.struct(p["k"].alias("k"), p["v"].alias("v"), i.alias("i"))), lambda p: F.array_position(F.transform(pairs, lambda q: q["k"]), p["k"]) == p["i"] + 1)
     return blocks.select(F.map_from_entries(F.transform(first, lambda p: F.struct(p["k"].alias("k"), p["v"].alias("v")))).alias("sections"))
 
@@ -101,13 +102,13 @@ def label_sections(xml: str, most: int = 5000) -> dict[str, str]:
     return out
 
 
-@F.pandas_udf("map<string,string>")
+@F.pandas_udf(T.MapType(T.StringType(), T.StringType()))
 def label_sections_udf(xml: pd.Series) -> pd.Series:
     """S14 over a column; nesting has to be counted, which no built-in does."""
     return xml.map(lambda x: label_sections(x) if isinstance(x, str) else None)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def zipped_xml(blob: pd.Series) -> pd.Series:
     """The first .xml member of each archive; null without one, or if it is no archive."""
 
@@ -122,7 +123,7 @@ def zipped_xml(blob: pd.Series) -> pd.Series:
     return blob.map(one)
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def inflated(blob: pd.Series) -> pd.Series:
     """Bytes as they were before zstd, gzip or up to five layers of base64, told by their first bytes."""
     import base64
