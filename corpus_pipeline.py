@@ -36,7 +36,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows of one doc_id stay or go together; rows of a null doc_id stay.
     """
     got = simhash.near_duplicates(docs)
-    return docs.join(got.where("doc_id <> component_id").select("doc_id").distinct(), "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    gone = got.where("doc_id <> component_id").select("doc_id").distinct().hint("merge")  # grows with the corpus
+    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
