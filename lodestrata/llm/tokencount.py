@@ -169,9 +169,10 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache_dir: str | None = None,
             n = np.concatenate([np.zeros(0, np.int64), *(np.array(own.counts(got[i : i + 256]), np.int64) for i in range(0, len(got), 256))])
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64())], ["digest", "n_tokens"])
 
-    found = texts.mapInArrow(run, "digest string, n_tokens long").withColumn("version", F.lit(version))
+    # Rows that repeat with their id are counted each, and stored once.
+    found = texts.mapInArrow(run, "digest string, n_tokens long").groupBy("digest").agg(F.min("n_tokens").alias("n_tokens")).withColumn("version", F.lit(version))
     found.write.mode("append").partitionBy("version").parquet(cache_dir)
-    # An append that is done again after a failure, or a repeated id, may store a digest twice: with equal counts.
+    # Two calls at a time may store a digest twice, with equal counts.
     stored = spark.read.schema(schema).parquet(cache_dir).where(F.col("version") == version).groupBy("digest").agg(F.min("n_tokens").alias("n_tokens"))
     stored = scratch.put(stored, "counts")
     return own.join(stored, "digest").select("doc_id", "digest", "n_bytes", "n_tokens")
