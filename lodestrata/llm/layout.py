@@ -46,6 +46,7 @@ _CLOSES = {
 }
 #: End tags of other elements don't reach beyond these.
 _WALLS = frozenset("table td th caption html template".split())
+_TABLE = frozenset("table tbody thead tfoot tr td th caption colgroup".split())
 
 _TAG = re.compile(r"<(?:!--(?:-?>|.*?(?:--!?>|\Z))|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|[!?/][^>]*(?:>|\Z))", re.S)
 _ATTR = re.compile(r"([^\s=/>\"'][^\s=/>]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
@@ -122,7 +123,9 @@ def parse(html: str) -> tuple[Node, list[str]]:
                 in_body()
                 stack[-1].kids.append(Node("br", {}))
                 continue
-            close({name} if not re.fullmatch("h[1-6]", name) else frozenset(("h1", "h2", "h3", "h4", "h5", "h6")), _WALLS - {name})
+            names = frozenset(("h1", "h2", "h3", "h4", "h5", "h6")) if re.fullmatch("h[1-6]", name) else {name}
+            # Ends of a table's parts reach through its cells; other ends stay in theirs.
+            close(names, ({"table"} if name in _TABLE else _WALLS) - {name})
             continue
         attrs = {}
         if m[3]:
@@ -372,9 +375,8 @@ class Page:
                 for j, cell in enumerate(row):
                     s = cell[i] if i < len(cell) else ""
                     line += s + " " * (widths[j] - _width(s) + 2)
-                if line.strip():
-                    self.now.append(line.rstrip())
-                    self.end()
+                self.now.append(line.rstrip())
+                self.end(True)
 
 
 def _wrap(node: Node) -> Node:

@@ -83,6 +83,7 @@ def _pnm(blob: bytes) -> np.ndarray | None:
 
 def _png(blob: bytes) -> np.ndarray | None:
     at, data, palette = 8, b"", None
+    w = h = depth = color = lace = 0
     while at + 8 <= len(blob):
         n, kind = int.from_bytes(blob[at : at + 4], "big"), blob[at + 4 : at + 8]
         body = blob[at + 8 : at + 8 + n]
