@@ -131,8 +131,8 @@ class Model:
     def scores(self, w: Words) -> np.ndarray:
         """Of each word and language, 0 for the best and -FLOOR at least."""
         k = len(self.langs)
-        if not len(w.s):
-            return np.zeros((0, k), np.float32)
+        if not len(w.s) or not k:
+            return np.zeros((len(w.s), k), np.float32)
         out = np.empty((len(w.s), k), np.float32)
         for i in range(k):
             out[:, i] = np.add.reduceat(self.gram[:, i][w.gram], w.edge) + self.word[:, i][w.word]
