@@ -21,11 +21,15 @@ def sid(space: str | Column, kind: Column | str, *parts: Column | str) -> Column
 
 def _fnv(hexed: Column, width: int, unit: Column | None = None) -> Column:
     """FNV-1a over hex digits, ``width`` of them a unit. The product is taken in two halves, within 64 bits."""
-    n = (F.length(hexed) / width).cast("int")
-    steps = F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: i <= n)
     mod = F.lit(1 << 32).cast("long")
-    each = lambda h, i: (h.bitwiseXOR(F.conv(F.substr(hexed, (i - 1) * width + 1, F.lit(width)), 16, 10).cast("long")) * FNV_PRIME) % mod
-    return F.when(hexed.isNotNull(), F.aggregate(steps, F.lit(FNV_BASIS).cast("long"), each))
+
+    def fold(x: Column) -> Column:
+        n = (F.length(x) / width).cast("int")
+        steps = F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: i <= n)
+        return F.aggregate(steps, F.lit(FNV_BASIS).cast("long"), lambda h, i: (h.bitwiseXOR(F.conv(F.substr(x, (i - 1) * width + 1, F.lit(width)), 16, 10).cast("long")) * FNV_PRIME) % mod)
+
+    # Bound once by an outer lambda: inner ones evaluate what they use anew for each item.
+    return F.when(hexed.isNotNull(), F.transform(F.array(hexed), fold)[0])
 
 
 def fnv1a(x: Column) -> Column:

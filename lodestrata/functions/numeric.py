@@ -59,12 +59,15 @@ def jaccard(a: Column, b: Column) -> Column:
 
 def words64(base64: Column, skip: int = 4) -> Column:
     """A base64 bit string as 64-bit words, its first ``skip`` bytes left out; the last word is filled up with zeros."""
-    hexed = F.hex(F.unbase64(base64))
-    n = F.greatest(F.lit(0), F.length(hexed) - 2 * skip)
-    return F.transform(
-        F.filter(F.sequence(F.lit(0), F.floor((n + 15) / 16).cast("int")), lambda i: i * 16 < n),
-        lambda i: F.conv(F.rpad(F.substr(hexed, i * 16 + 2 * skip + 1, F.lit(16)), 16, "0"), 16, -10).cast("long"),
-    )
+
+    def cut(hexed: Column) -> Column:
+        n = F.greatest(F.lit(0), F.length(hexed) - 2 * skip)
+        return F.transform(
+            F.filter(F.sequence(F.lit(0), F.floor((n + 15) / 16).cast("int")), lambda i: i * 16 < n),
+            lambda i: F.conv(F.rpad(F.substr(hexed, i * 16 + 2 * skip + 1, F.lit(16)), 16, "0"), 16, -10).cast("long"),
+        )
+
+    return F.transform(F.array(F.hex(F.unbase64(base64))), cut)[0]
 
 
 def tanimoto_words(a: Column, b: Column) -> Column:

@@ -41,13 +41,21 @@ def proteins(blocks: DataFrame) -> DataFrame:
     ).where("accession is not null")
 
 
+def _first_of_each(pairs: Column) -> Column:
+    """A map of structs (k, v), the first of equal keys. Bound once by an outer lambda, so that pairs are parsed once."""
+
+    def pick(x: Column) -> Column:
+        keys = F.array_distinct(F.transform(x["p"], lambda q: q["k"]))
+        return F.map_from_arrays(keys, F.transform(keys, lambda k: F.get(x["p"], F.array_position(F.transform(x["p"], lambda q: q["k"]), k).cast("int") - 1)["v"]))
+
+    return F.transform(F.array(F.struct(pairs.alias("p"))), pick)[0]
+
+
 def sdf(blocks: DataFrame, id_tag: str) -> DataFrame:
     """(tags map) of structure records that have the id tag: ``> <TAG>`` lines, each followed by its value up to a blank line."""
     pairs = F.arrays_zip(F.regexp_extract_all("value", F.lit(r"(?ms)^> *<([^>\n]+)>[^\n]*\n(.*?)(?=\n\s*\n|\n> *<|\z)"), F.lit(1)).alias("k"), F.regexp_extract_all("value", F.lit(r"(?ms)^> *<([^>\n]+)>[^\n]*\n(.*?)(?=\n\s*\n|\n> *<|\z)"), F.lit(2)).alias("v"))
     # Of repeated tags the first counts.
-    first = F.filter(F.transform(pairs, lambda p, i: F.struct(p["k"].alias("k"), F.trim(p["v"]).alias("v"), i.alias("i"))), lambda p: F.array_position(F.transform(pairs, lambda q: q["k"]), p["k"]) == p["i"] + 1)
-    tags = F.map_from_entries(F.transform(first, lambda p: F.struct(p["k"].alias("k"), p["v"].alias("v"))))
-    return blocks.select(tags.alias("tags")).where(F.try_element_at("tags", F.lit(id_tag)).isNotNull())
+    return blocks.select(_first_of_each(F.transform(pairs, lambda p: F.struct(p["k"].alias("k"), F.trim(p["v"]).alias("v")))).alias("tags")).where(F.try_element_at("tags", F.lit(id_tag)).isNotNull())
 
 
 def compounds(sdf_rows: DataFrame) -> DataFrame:
@@ -65,8 +73,7 @@ def sections(blocks: DataFrame, indent: int = 12) -> DataFrame:
     joined = F.regexp_replace("value", rf"\n {{{indent}}}", "\u0001")
     lines = F.filter(F.split(joined, "\n"), lambda x: x.rlike(r"^[A-Z_]+\s"))
     pairs = F.transform(lines, lambda x: F.struct(F.regexp_extract(x, r"^([A-Z_]+)", 1).alias("k"), F.transform(F.split(F.regexp_replace(x, r"^[A-Z_]+\s+", ""), "\u0001"), lambda v: F.trim(v)).alias("v")))
-    first = F.filter(F.transform(pairs, lambda p, i: F.struct(p["k"].alias("k"), p["v"].alias("v"), i.alias("i"))), lambda p: F.array_position(F.transform(pairs, lambda q: q["k"]), p["k"]) == p["i"] + 1)
-    return blocks.select(F.map_from_entries(F.transform(first, lambda p: F.struct(p["k"].alias("k"), p["v"].alias("v")))).alias("sections"))
+    return blocks.select(_first_of_each(pairs).alias("sections"))
 
 
 # LOINC codes of label sections.
