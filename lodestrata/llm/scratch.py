@@ -3,11 +3,13 @@
 Every table goes below the folder named in ``spark.checkpoint.dir``, which all
 executors and the driver share, so a lost executor costs a re-read and never
 the data. Only where that setting is absent (tests, notebooks in local mode)
-a temporary folder is made and the setting is filled in.
+a temporary folder is made and the setting is filled in; on a cluster its absence
+is an error.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -20,6 +22,8 @@ def folder(spark: SparkSession) -> str:
     """The shared folder of this session."""
     at = spark.conf.get(KEY, None) or spark.sparkContext.getConf().get(KEY)
     if not at:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError(f"{KEY} names no folder that the executors share")
         at = "file://" + tempfile.mkdtemp(prefix="lodestrata-")
         spark.conf.set(KEY, at)
     return at.rstrip("/")
