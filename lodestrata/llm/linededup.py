@@ -55,16 +55,25 @@ def dedup_lines(docs: DataFrame, window: int = 3, id_col: str = "doc_id", text_c
     later = later.groupBy(F.col("place.k").alias(key)).agg(F.array_sort(F.collect_set("place.at")).alias(starts))
     later = scratch.put(later, "later")
 
-    held = F.split(text, "\n")
+    # Lambdas evaluate what they use anew for each item; struct fields bound by an outer lambda are there already.
+    lines = F.split(text, "\n")
+    solid = F.filter(F.transform(lines, lambda s, i: F.when(F.btrim(s, F.lit(_BLANK)) != "", i)), lambda i: i.isNotNull())
     out = docs.withColumn(key, row_key).join(later.hint("merge"), key, "left")  # later grows with the corpus
-    # Where the lines that aren't blank stand; covered lines run from a window's first to its last.
-    solid = F.filter(F.transform(held, lambda s, i: F.when(F.btrim(s, F.lit(_BLANK)) != "", i)), lambda i: i.isNotNull())
-    out = out.withColumn("n_lines", F.when(text.isNull(), 0).otherwise(F.size(held)))
-    covered = F.transform(starts, lambda p: F.sequence(F.get(solid, p), F.get(solid, p + window - 1)))
-    kept = F.array_except(F.sequence(F.lit(0), F.size(held) - 1), F.flatten(covered))
-    slim = F.array_join(F.transform(kept, lambda i: F.get(held, i)), "\n")
-    out = out.withColumn("n_removed", F.when(F.col(starts).isNull(), 0).otherwise(F.size(held) - F.size(kept)))
-    out = out.withColumn(text_col, F.when(F.col(starts).isNull(), F.col(f"`{text_col}`")).otherwise(slim))
+
+    def cut(x):
+        # Covered lines run from a window's first to its last, blank ones between them too.
+        covered = F.flatten(F.transform(x["starts"], lambda p: F.sequence(F.get(x["solid"], p), F.get(x["solid"], p + window - 1))))
+        return F.struct(x["lines"].alias("lines"), F.array_except(F.sequence(F.lit(0), F.size(x["lines"]) - 1), covered).alias("kept"))
+
+    def join(x):
+        return F.struct(F.array_join(F.transform(x["kept"], lambda i: F.get(x["lines"], i)), "\n").alias("text"), F.size(x["kept"]).alias("n"))
+
+    bound = F.transform(F.transform(F.array(F.struct(lines.alias("lines"), solid.alias("solid"), F.col(starts).alias("starts"))), cut), join)
+    slim = _free(out, "slim")
+    out = out.withColumn(slim, F.when(F.col(starts).isNotNull(), F.get(bound, 0)))
+    out = out.withColumn("n_lines", F.when(text.isNull(), 0).otherwise(F.length(text) - F.length(F.replace(text, F.lit("\n"))) + 1))
+    out = out.withColumn("n_removed", F.when(F.col(starts).isNull(), 0).otherwise(F.col("n_lines") - F.col(f"{slim}.n")))
+    out = out.withColumn(text_col, F.when(F.col(starts).isNull(), F.col(f"`{text_col}`")).otherwise(F.col(f"{slim}.text"))).drop(slim)
     return out.drop(key, starts)
 
 
