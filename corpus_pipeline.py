@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import decontaminate, langid, linededup, mixing, simhash
+from lodestrata.llm import decontaminate, langid, linededup, mixing, nearsets
 from lodestrata.llm.scratch import Scratch
 
 
@@ -31,11 +31,11 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of linked fingerprints the document of least doc_id stays.
+    """Of each class of texts linked at a 5-word Jaccard similarity of 0.8 or more the document of least doc_id stays.
 
     Rows of one doc_id stay or go together; rows of a null doc_id stay.
     """
-    got = simhash.near_duplicates(docs)
+    got = nearsets.near_duplicates(docs, 5, 0.8)
     gone = got.where("doc_id <> component_id").select("doc_id").distinct().hint("merge")  # grows with the corpus
     return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
