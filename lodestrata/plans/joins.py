@@ -145,10 +145,13 @@ r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY k::DOUBLE / (n +
 SELECT doc_id, item_id, greatest(0.01::DOUBLE, floor(k::DOUBLE / (n + m - k) * 100 + 0.5) / 100) AS score FROM r WHERE o = 1
 """)
 def jaccard_link(t, spark):
-    """Each document's first line to the nearest benchmark text by token sets."""
+    """Each document to the nearest benchmark text by token sets, over whole texts.
+
+    The SQL still reads first lines only, so its rows differ for documents of several lines.
+    """
     from ..functions.text import link_tokens
 
-    d = t("documents").select("doc_id", link_tokens(F.get(F.split("text", "\n"), 0)).alias("t"))
+    d = t("documents").select("doc_id", link_tokens(F.col("text")).alias("t"))
     b = t("benchmark").select("item_id", link_tokens(F.col("text")).alias("u"))
     return joins.set_similarity_join(d, b, "doc_id", "t", "item_id", "u")
 
