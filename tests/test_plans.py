@@ -1,8 +1,10 @@
 """Registered queries over whole tables, against brute force."""
 
+import random
 import re
+from collections import defaultdict
 
-from lodestrata.plans import joins
+from lodestrata.plans import evidence, joins, text
 
 
 def test_jaccard_link_reads_whole_texts(spark, tmp_path):
@@ -19,3 +21,40 @@ def test_jaccard_link_reads_whole_texts(spark, tmp_path):
             want[d] = -best[1], max(0.01, int(best[0] * 100 + 0.5) / 100)
     got = {r[0]: (r[1], r[2]) for r in joins.QUERIES["jaccard_link"](spark, str(tmp_path)).collect()}
     assert got == want and got[1] == (2, 0.83) and got[2][0] == 3
+
+
+def test_lineitem_queries_take_every_line(spark, tmp_path):
+    rng = random.Random(2)
+    orders = [(o, o % 7) for o in range(40)]
+    lines = [(rng.randrange(40), rng.randrange(30), rng.randrange(12), float(rng.randint(1, 50)), rng.choice("ANR")) for _ in range(200)]
+    suppliers = [(k, 500.0 + 100 * k) for k in range(14)]
+    put = lambda rows, schema, name: spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    put(orders, "o_orderkey long, o_custkey long", "orders")
+    put(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_quantity double, l_returnflag string", "lineitem")
+    put(suppliers, "s_suppkey long, s_acctbal double", "supplier")
+    put([(c,) for c in range(9)], "c_custkey long", "customer")
+    run = lambda of, name: {r[0]: tuple(r)[1:] for r in of.QUERIES[name](spark, str(tmp_path)).collect()}
+    said = lambda xs: ",".join(map(str, xs))
+    parts, flags, bought, buyers = (defaultdict(set) for _ in range(4))
+    n = defaultdict(int)
+    for o, p, s, _, f in lines:
+        parts[s].add(p)
+        flags[p].add(f)
+        bought[o % 7].add(s)
+        buyers[s].add(o % 7)
+        n[o % 7] += 1
+
+    assert run(joins, "bidirectional_links") == {s: (said(sorted(ps)), s % 3 != 0) for s, ps in parts.items()}
+    got = {c: (k, set(map(int, x.split(","))) if x else set()) for c, (k, x) in run(joins, "nested_list_join").items()}
+    assert got == {c: (n[c], bought[c]) for c in range(9)}
+    got = run(joins, "two_source_build")
+    rich = {k for k, v in suppliers if v > 1000}
+    assert {k: r[:2] for k, r in got.items()} == {k: (k in parts, k in rich) for k in rich | parts.keys()}
+    got = run(text, "target_inverse_pivot")
+    assert {s: (set(map(int, r[0].split(","))), r[1], r[2]) for s, r in got.items()} == {s: (parts[s], len(b), min(b)) for s, b in buyers.items()}
+
+    worth = {"A": 10, "N": 10, "R": 5}
+    def score(f):
+        bonus = sum(map(worth.get, f))
+        return 40 + min(20, bonus) if len(f) == 1 else min(100, 80 + (len(f) - 2) * 3 + min(15, int(bonus / 2 + 0.5)))
+    assert run(evidence, "source_scores") == {p: (len(f), score(f)) for p, f in flags.items()}
