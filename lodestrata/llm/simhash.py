@@ -8,14 +8,21 @@
    inequality two fingerprints within ``radius`` of each other then share at
    least one leaf, and every other branch is pruned. Leaves are the shards.
 4. A shard links its fingerprints exactly and returns a forest (at most one row
-   for each entry), never its pairs. Shards over ``shard_rows`` are dealt out as
-   pairs of blocks, so that a dense cluster isn't one task's work.
-5. Components of the forests over all shards give the classes.
+   for each entry), never its pairs. Of radius + 2 blocks of bits two
+   fingerprints within the radius share two whole ones, so only those that do
+   are compared.
+5. Triangle bounds prune little of random fingerprints, so the tree isn't made
+   ever deeper: a leaf of over ``SHARD_ROWS`` entries, which a larger corpus or
+   a dense cluster has, is divided once more by each of radius + 1 blocks of
+   bits, of which two neighbours share one; only what is over the bound even
+   then is dealt out as pairs of parts.
+6. Components of the forests over all shards give the classes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -28,9 +35,11 @@ from .components import components
 from .scratch import Scratch
 
 #: Fingerprints an average leaf is meant to own, sampled fingerprints for each leaf, and the most that are sampled.
-LEAF_ROWS, SAMPLE_PER_LEAF, SAMPLE_MOST = 2048, 32, 1 << 18
-#: A shard with more entries is dealt out in pairs of blocks.
-SHARD_ROWS = 24_000
+LEAF_ROWS, SAMPLE_PER_LEAF, SAMPLE_MOST = 8192, 32, 1 << 18
+#: A shard with more entries is divided.
+SHARD_ROWS = 32_768
+#: A run of more fingerprints that share blocks of bits is searched from one to the next instead of pair by pair.
+RUN = 64
 #: Candidates that each node of the tree tries as vantage point.
 TRIES = 24
 
@@ -64,7 +73,7 @@ def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_c
             fps = [int.from_bytes(fingerprint(t or b"", words), "big", signed=True) for t in b.column(1).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64())], ["doc_id", "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col(id_col).try_cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
 
 
 class VPTree:
@@ -108,26 +117,68 @@ class VPTree:
         return node - len(self.at), fp
 
 
-def forest(fp: np.ndarray, radius: int) -> np.ndarray:
-    """For each of the distinct values the index of its component's first value, within ``radius`` of each other link by link."""
+def blocks(n: int) -> list[int]:
+    """Masks of n blocks that the 64 bits are divided into."""
+    cut = [round(64 * i / n) for i in range(n + 1)]
+    return [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(cut, cut[1:], strict=False)]
+
+
+def spread(fp: np.ndarray, radius: int) -> np.ndarray:
+    """For each of the distinct values the index of its component's first value, all pairs compared until a component is known."""
     n = len(fp)
-    root = np.arange(n)
-    some = np.zeros(n, bool)
-    step = max(1, (1 << 21) // max(n, 1))
-    for a in range(0, n, step):
-        some[a : a + step] = (np.bitwise_count(fp[a : a + step, None] ^ fp[None, :]) <= radius).sum(axis=1) > 1
-    left = np.flatnonzero(some)
+    root, left = np.arange(n), np.arange(n)
     while len(left):
         first, front, left = left[0], left[:1], left[1:]
         while len(front) and len(left):
             hit = np.zeros(len(left), bool)
-            for a in range(0, len(front), max(1, (1 << 21) // len(left))):
-                hit |= (np.bitwise_count(fp[front[a : a + max(1, (1 << 21) // len(left)), None]] ^ fp[None, left]) <= radius).any(axis=0)
+            step = max(1, (1 << 21) // len(left))
+            for a in range(0, len(front), step):
+                hit |= (np.bitwise_count(fp[front[a : a + step, None]] ^ fp[None, left]) <= radius).any(axis=0)
             front, left = left[hit], left[~hit]
             root[front] = first
     return root
 
 
+def forest(fp: np.ndarray, radius: int) -> np.ndarray:
+    """For each of the distinct values the index of its component's first value, within ``radius`` of each other link by link."""
+    n = len(fp)
+    one, two = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    own = blocks(radius + 2)
+    for x, y in combinations(own, 2):
+        key = fp & np.uint64(x | y)
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
+        size = np.diff(cut)
+        for k in np.flatnonzero(size > RUN):
+            run = order[cut[k] : cut[k + 1]]
+            to = run[spread(fp[run], radius)]
+            one.append(run[to != run])
+            two.append(to[to != run])
+        # Pairs of short runs, by their distance in the order.
+        short = np.repeat(size <= RUN, size)
+        i, by = np.flatnonzero(short[:-1]) if n else np.zeros(0, np.int64), 1
+        while len(i):
+            i = i[key[i] == key[i + by]]
+            near = i[np.bitwise_count(fp[order[i]] ^ fp[order[i + by]]) <= radius]
+            one.append(order[near])
+            two.append(order[near + by])
+            by += 1
+            i = i[i + by < n]
+    a, b = np.concatenate(one), np.concatenate(two)
+    root = np.arange(n)
+    while len(a):
+        x, y = root[a], root[b]
+        on = x != y
+        if not on.any():
+            break
+        a, b, x, y = a[on], b[on], x[on], y[on]
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while (root[root] != root).any():
+            root = root[root]
+    return root
+
+
 def links(distinct: DataFrame, scratch: Scratch, radius: int = 3) -> DataFrame:
     """(a long, b long): edges between distinct fingerprints whose components are those of all pairs within ``radius``."""
     spark = distinct.sparkSession
@@ -144,15 +195,6 @@ def links(distinct: DataFrame, scratch: Scratch, radius: int = 3) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(leaf), pa.array(fp.view(np.int64))], ["leaf", "fp"])
 
     entries = scratch.put(distinct.select("fp").mapInArrow(deal, "leaf long, fp long"), "shards")
-    # As many rows at most as the tree has leaves.
-    large = {r["leaf"]: -(-r["count"] // (SHARD_ROWS // 2)) for r in entries.groupBy("leaf").count().where(F.col("count") > SHARD_ROWS).collect()}
-    if large:
-        blocks = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in large.items() for x in kv]), F.col("leaf")), F.lit(1))
-        entries = entries.withColumn("n", blocks.cast("int")).withColumn("own", F.pmod(F.xxhash64("fp"), "n").cast("int"))
-        entries = entries.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-        entries = entries.select("leaf", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp")
-    else:
-        entries = entries.select("leaf", F.lit(0).alias("i"), F.lit(0).alias("j"), "fp")
 
     def link(pdf: pd.DataFrame) -> pd.DataFrame:
         fp = np.unique(pdf["fp"].to_numpy(np.int64))
@@ -160,7 +202,21 @@ def links(distinct: DataFrame, scratch: Scratch, radius: int = 3) -> DataFrame:
         on = root != fp
         return pd.DataFrame({"a": fp[on], "b": root[on]})
 
-    return entries.groupBy("leaf", "i", "j").applyInPandas(link, "a long, b long")
+    # Sizes are few rows: at most one a leaf, then one a block of bits of a large leaf that is still too large.
+    many = F.col("count") > SHARD_ROWS
+    large = scratch.put(entries.groupBy("leaf").count().where(many).select("leaf"), "large")
+    got = entries.join(large.hint("merge"), "leaf", "left_anti").groupBy("leaf").applyInPandas(link, "a long, b long")
+    if large.isEmpty():
+        return got
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    parts = F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(signed(x)).cast("long")) for x in blocks(radius + 1)])).alias("t", "v")
+    # A fingerprint of several large leaves stands once in each block's table.
+    entries = scratch.put(entries.join(large.hint("merge"), "leaf", "left_semi").select("fp").distinct().select(parts, "fp"), "divided")
+    sizes = entries.groupBy("t", "v").count().where(many).select("t", "v", F.ceil(F.col("count") * 2 / SHARD_ROWS).cast("int").alias("n"))
+    rows = entries.join(sizes.hint("merge"), ["t", "v"], "left").withColumn("n", F.coalesce("n", F.lit(1)))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("fp"), "n").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    rows = rows.select("t", "v", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp")
+    return got.union(rows.groupBy("t", "v", "i", "j").applyInPandas(link, "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -170,7 +226,8 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 3, id_col: st
     component_id is the least doc_id that links reach. Null texts count as
     empty: fingerprint zero, linked like any other. A null doc_id keeps its row
     and takes no part in minima (its component_id is null if it stands alone).
-    Repeated rows are kept. Other columns of ``docs`` play no part. An empty
+    Ids are cast to
+    long, what can't be cast is null. Repeated rows are kept. Other columns of ``docs`` play no part. An empty
     table gives an empty one.
     """
     scratch = Scratch(docs.sparkSession, "simhash")
