@@ -35,25 +35,32 @@ class ApiError(Exception):
 
 
 class Engine:
-    """Z01-Z08 over one snapshot; ``root`` holds ``latest.json``, or tables directly.
+    """Z01-Z08 over one snapshot, which ``latest.json`` in ``root`` names; ``direct``: the tables are in ``root`` itself.
 
-    A table that can't be read raises: it's never taken for one without rows
-    (G17). All tables come from the one snapshot that the pointer named when the
-    engine was made.
+    A pointer or table that can't be read raises ``SourceLoadError``: it's never
+    taken for one without rows (G17, R19). All tables come from the one snapshot
+    that the pointer named when the engine was made.
     """
 
-    def __init__(self, spark: SparkSession, root: str, withheld: dict[str, str] | None = None):
+    def __init__(self, spark: SparkSession, root: str, withheld: dict[str, str] | None = None, direct: bool = False):
         self.spark, self.withheld = spark, withheld or {}
-        at = f"{root}/latest.json"
         prefix = ""
-        if scan.exists(spark, at):
-            prefix = scan.pointer("\n".join(r.value for r in spark.read.text(at, wholetext=True).collect()))["prefix"]
+        if not direct:
+            at = f"{root}/latest.json"
+            try:
+                text = "\n".join(r.value for r in spark.read.text(at, wholetext=True).collect())
+            except Exception as e:
+                raise scan.load_error(spark, "pointer", at, e) from e
+            prefix = scan.pointer(text)["prefix"]
         self.root = f"{root}/{prefix}".rstrip("/")
 
     def table(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise ApiError(404, f"no table {name}")
-        return self.spark.read.parquet(f"{self.root}/{name}")
+        try:
+            return self.spark.read.parquet(f"{self.root}/{name}")
+        except Exception as e:
+            raise scan.load_error(self.spark, name, f"{self.root}/{name}", e) from e
 
     def views(self) -> None:
         """Register every table that the snapshot has as a view of its name."""

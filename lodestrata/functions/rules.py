@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re._constants as _re
+import re._parser as _re_parser
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -82,6 +85,13 @@ def agreement(ratio: Column) -> Column:
     return F.when(ratio < 10, "agree").when(ratio < 100, "soft_agree").when(ratio.isNotNull() & (ratio < float("inf")), "conflict")
 
 
+def compared(value: Column, unit: Column, other: Column, other_unit: Column) -> Column:
+    """struct(matched, agreement) of two measurements: any other one is a match, but where a unit has no factor nothing can be said of agreement."""
+    a, b = to_nm(value, unit), to_nm(other, other_unit)
+    ratio = F.when((a > 0) & (b > 0), F.greatest(a, b) / F.least(a, b))
+    return F.struct(other.isNotNull().alias("matched"), agreement(ratio).alias("agreement"))
+
+
 def tier(count: Column, critical: int, major: int, minor: int | None = None, least: str = "minor") -> Column:
     """Severity by count."""
     out = F.when(count >= critical, "critical").when(count >= major, "major")
@@ -101,18 +111,39 @@ def failure_severity(category: Column) -> Column:
     return F.when(category == "SAFETY", "critical").when(category.isin("EFFICACY", "REGULATORY"), "major").when(category.isin("ENROLLMENT", "LOGISTICS", "FUNDING", "BUSINESS", "COVID"), "minor").otherwise("unknown")
 
 
-def verdict(trials: Column, activities: Column, negatives: Column, critical: Column, retracted: Column) -> Column:
-    """The signal of a subject's evidence; the order of the cases decides."""
+# What each verdict recommends.
+RECOMMENDATIONS = {
+    "critical": "Critical negative signal present (drug withdrawal / black box). Repurposing is not viable without explicit risk-benefit reassessment.",
+    "nothing": "No repurposing evidence on file. Insufficient data to recommend.",
+    "retracted": "No positive evidence; only retracted-paper signals present. Treat any historical claim with caution.",
+    "trials": "Multiple progressed trials and few negative signals \u2014 strong repurposing candidate.",
+    "clean": "Positive evidence present with no negative signals on record.",
+    "mixed": "Positive evidence weighed against multiple negative signals. Agent should surface both layers.",
+    "sparse": "Sparse evidence; treat any single-source claim with caution.",
+}
+
+
+def judged(trials: Column, activities: Column, negatives: Column, critical: Column, retracted: Column) -> Column:
+    """struct(signal, recommendation) of a subject's evidence; the order of the cases decides."""
     positive = trials + activities
-    return (
-        F.when(critical > 0, "none")
-        .when((positive == 0) & (negatives == 0) & (retracted == 0), "none")
-        .when((positive == 0) & (retracted > 0), "weak")
-        .when((trials >= 2) & (negatives <= 2), "strong")
-        .when((positive > 0) & (negatives == 0), "strong")
-        .when((positive > 0) & (negatives > 2), "mixed")
-        .otherwise("weak")
+    cases = (
+        (critical > 0, "none", "critical"),
+        ((positive == 0) & (negatives == 0) & (retracted == 0), "none", "nothing"),
+        ((positive == 0) & (retracted > 0), "weak", "retracted"),
+        ((trials >= 2) & (negatives <= 2), "strong", "trials"),
+        ((positive > 0) & (negatives == 0), "strong", "clean"),
+        ((positive > 0) & (negatives > 2), "mixed", "mixed"),
     )
+    said = lambda signal, why: F.struct(F.lit(signal).alias("signal"), F.lit(RECOMMENDATIONS[why]).alias("recommendation"))
+    out = F
+    for test, signal, why in cases:
+        out = out.when(test, said(signal, why))
+    return out.otherwise(said("weak", "sparse"))
+
+
+def verdict(trials: Column, activities: Column, negatives: Column, critical: Column, retracted: Column) -> Column:
+    """The signal alone."""
+    return judged(trials, activities, negatives, critical, retracted)["signal"]
 
 
 def highest_severity(counts: dict[str, Column]) -> Column:
@@ -232,18 +263,74 @@ FAILURE_RULES = (
 )
 
 
+def _stems(tree) -> list[str] | None:
+    """Lower-case strings of which a text has one wherever the parsed pattern matches; None if none can be told."""
+    best, run = None, ""
+
+    def better(a: list[str] | None, b: list[str] | None) -> list[str] | None:
+        if a is None or b is None:
+            return a or b
+        return a if min(map(len, a)) >= min(map(len, b)) else b
+
+    for op, arg in [*tree, (None, None)]:
+        if op is _re.LITERAL:
+            run += chr(arg).lower()
+            continue
+        best, run = better(best, [run] if run.strip() else None), ""
+        if op is _re.SUBPATTERN:
+            best = better(best, _stems(arg[3]))
+        elif op is _re.BRANCH:
+            each = [_stems(x) for x in arg[1]]
+            best = better(best, [s for e in each for s in e] if all(each) else None)
+    return best
+
+
 def failure_category(text: Column, rules=FAILURE_RULES) -> Column:
     """struct(category, confidence, n_matched, n_categories) of a reason.
 
     A category's score is its confidence and 5 for each pattern that matches;
     the first of equals wins; more than one category costs 10 (not below 50).
-    Empty text is OTHER with 0, text without a match OTHER with 30.
+    Empty text is OTHER with 0, text without a match OTHER with 30. A pattern is
+    tried only on texts that hold a string without which it can't match.
     """
-    hits = [sum((text.rlike(p).cast("int") for p in patterns), F.lit(0)) for _, _, patterns in rules]
-    ranked = F.array(*[F.struct(F.lit(c).alias("category"), F.lit(n).alias("confidence"), h.alias("hits"), F.lit(-i).alias("order")) for i, ((c, n, _), h) in enumerate(zip(rules, hits, strict=True))])
-    matched = F.filter(ranked, lambda r: r["hits"] > 0)
-    # Through a one-element array, so that the patterns are tried once for each row.
-    return F.transform(F.array(matched), _decide(text))[0]
+
+    def hit(p: str, low: Column) -> Column:
+        stems, there = _stems(_re_parser.parse(p)), F.lit(False)
+        for s in sorted(set(stems or [])):
+            there = there | F.contains(low, F.lit(s))
+        found = text.rlike(p).cast("int")
+        return F.when(there, found).otherwise(0) if stems else found
+
+    def ranked(low: Column) -> Column:
+        hits = [sum((hit(p, low) for p in patterns), F.lit(0)) for _, _, patterns in rules]
+        each = F.array(*[F.struct(F.lit(c).alias("category"), F.lit(n).alias("confidence"), h.alias("hits"), F.lit(-i).alias("order")) for i, ((c, n, _), h) in enumerate(zip(rules, hits, strict=True))])
+        return F.filter(each, lambda r: r["hits"] > 0)
+
+    # Through one-element arrays, so that the text is lower-cased and the patterns are tried once for each row.
+    matched = F.transform(F.array(F.lower(text)), ranked)
+    return F.transform(matched, _decide(text))[0]
+
+
+def _example(tree, turn: int) -> str:
+    """A text that the parsed pattern matches; ``turn`` picks a branch."""
+    out = ""
+    for op, arg in tree:
+        if op is _re.LITERAL:
+            out += chr(arg)
+        elif op is _re.SUBPATTERN:
+            out += _example(arg[3], turn)
+        elif op is _re.BRANCH:
+            out += _example(arg[1][turn % len(arg[1])], turn)
+        elif op in (_re.MAX_REPEAT, _re.MIN_REPEAT):
+            out += " of the " if arg[1] is _re.MAXREPEAT else _example(arg[2], turn) * arg[0]
+        elif op is _re.ANY:
+            out += " "
+    return out
+
+
+def example_reasons(rules=FAILURE_RULES) -> list[str]:
+    """A reason for each pattern of the table, its branches taken in turn."""
+    return [_example(_re_parser.parse(p), i) for i, p in enumerate(p for _, _, ps in rules for p in ps)]
 
 
 def _decide(text: Column):

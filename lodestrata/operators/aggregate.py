@@ -37,9 +37,16 @@ def filtered_rollup(rolled: DataFrame, key: str, wanted: list[str] | None) -> Da
 
 
 def summary(df: DataFrame, key: str, flags: dict[str, Column], example: Column, counted: Column, most: int = 5) -> DataFrame:
-    """Per key a count of each flag, and the first ``most`` of the ordered examples of counted rows."""
-    shown = F.slice(F.array_sort(F.collect_list(F.when(counted, example))), 1, most)
-    return df.groupBy(key).agg(*[F.count_if(F.coalesce(t, F.lit(False))).alias(n) for n, t in flags.items()], shown.alias("examples"))
+    """Per key a count of each flag, and the first ``most`` of the ordered examples of counted rows.
+
+    Only ``most`` examples of a key and task are shuffled, however many it has.
+    """
+    totals = df.groupBy(F.col(key).alias("_k")).agg(*[F.count_if(F.coalesce(t, F.lit(False))).alias(n) for n, t in flags.items()])
+    shown = df.where(F.coalesce(counted, F.lit(False))).select(F.col(key).alias("_k2"), example.alias("_e")).where("_e is not null")
+    ranked = shown.withColumn("_n", F.row_number().over(Window.partitionBy("_k2").orderBy("_e"))).where(F.col("_n") <= most)
+    lists = ranked.groupBy("_k2").agg(F.array_sort(F.collect_list("_e")).alias("examples"))
+    out = totals.join(lists, F.col("_k").eqNullSafe(F.col("_k2")), "left")
+    return out.select(F.col("_k").alias(key), *flags, F.coalesce("examples", F.array().cast(lists.schema["examples"].dataType)).alias("examples"))
 
 
 def zero_filled(df: DataFrame, kind: str, known: list[str]) -> DataFrame:
@@ -132,3 +139,8 @@ def drug_signals(df: DataFrame, key: str, sets: list[str], rank: dict[str, int],
     """Per key ordered distinct values of each column in ``sets``, and the value of ``ranked`` of highest rank."""
     order = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in rank.items() for x in kv]), F.col(ranked)), F.lit(-1))
     return df.groupBy(key).agg(*[F.array_sort(F.collect_set(c)).alias(c) for c in sets], F.max_by(ranked, F.when(F.col(ranked).isNotNull(), order)).alias(ranked))
+
+
+def totals(manifest: DataFrame) -> DataFrame:
+    """One row of a snapshot's tables, records, bytes, and bytes as read over bytes as written."""
+    return manifest.agg(F.count("*").alias("tables"), F.sum("records").alias("records"), F.sum("bytes").alias("bytes"), F.sum("raw_bytes").alias("raw_bytes")).withColumn("ratio", F.col("raw_bytes") / F.nullif(F.col("bytes"), F.lit(0)))

@@ -10,9 +10,31 @@ from ..functions.text import search_tokens
 from .paging import pages
 
 
-def inverted(df: DataFrame, id_col: str, text: Column) -> DataFrame:
-    """(token, id), one row for each distinct token of a row's text."""
-    return df.select(F.explode(search_tokens(text)).alias("token"), F.col(id_col).alias("id")).distinct()
+def inverted(df: DataFrame, id_col: str, text: Column, unique: bool = True) -> DataFrame:
+    """(token, id), one row for each distinct token of a row's text; ``unique``: no id stands twice, so nothing has to be shuffled."""
+    out = df.select(F.explode(search_tokens(text)).alias("token"), F.col(id_col).alias("id"))
+    return out if unique else out.distinct()
+
+
+def entries(df: DataFrame, id_col: str, names: Column, long_name: Column, extra: Column, width: int = 120) -> DataFrame:
+    """(id, name, snippet): what a hit shows; the first name, else the long one, and a line of the formula and up to three other names."""
+    first = F.nullif(F.get(names, 0), F.lit(""))
+    others = F.when(F.size(names) > 1, F.concat(F.lit("aka: "), F.array_join(F.slice(names, 2, 3), ", ")))
+    snippet = F.concat_ws(" \u2014 ", F.nullif(extra, F.lit("")), others)
+    return df.select(F.col(id_col).alias("id"), F.substring(F.coalesce(first, F.nullif(long_name, F.lit(""))), 1, width).alias("name"), F.substring(snippet, 1, width).alias("snippet"))
+
+
+def locators(df: DataFrame, key: str, kind, rows_per_shard: int) -> DataFrame:
+    """(key, shard, place, content_hash): where each canonical record stands in shards of ``rows_per_shard`` by key, and its hash.
+
+    Numbered by key within range partitions, so that no task sorts all rows.
+    """
+    from ..functions.ident import content_hash
+    from .stamp import number
+
+    placed = number(df.withColumn("content_hash", content_hash(F.struct(*df.columns), kind)), key, 0, "x", "x", parts=16)
+    at = F.col("counter_value")
+    return placed.select(key, F.floor(at / rows_per_shard).cast("int").alias("shard"), (at % rows_per_shard).cast("int").alias("place"), "content_hash")
 
 
 def postings(index: DataFrame) -> DataFrame:
@@ -34,6 +56,12 @@ def inverse_pivot(edges: DataFrame, key: str, through: str, passes: dict[str, Da
     return out.withColumns(empty)
 
 
+def reached(edges: DataFrame, key: str, through: str, table: DataFrame) -> DataFrame:
+    """Distinct (key, id) of table(through, id) reached through the edges; ids stay rows, since a common key reaches very many."""
+    pairs = edges.select(key, through).where(F.col(key).isNotNull() & F.col(through).isNotNull()).distinct()
+    return pairs.join(table.select(through, "id"), through).select(key, "id").distinct()
+
+
 def xrefs(df: DataFrame, number: str, kinds: dict[str, Column]) -> DataFrame:
     """(kind, id, least number, collisions): all kinds unpivoted in one pass, nulls and empties left out."""
     each = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), c.cast("string").alias("id")) for k, c in kinds.items()])).alias("e")

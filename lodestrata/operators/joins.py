@@ -132,6 +132,55 @@ def set_similarity_join(left: DataFrame, right: DataFrame, key: str, tokens: str
     return best.select(F.col("_l").alias(key), F.col("_x._r").alias(rkey), F.col("_x.score").alias("score"))
 
 
+def set_similarity_best(left: DataFrame, right: DataFrame, key: str, tokens: str, rkey: str, strings: str) -> DataFrame:
+    """The same where a right row has several token sets (array<array<string>>): a pair's score is the best over them, not one over their union."""
+    each = right.select(F.col(rkey).alias("_r"), F.posexplode(strings).alias("_i", "_u"))
+    l = left.select(F.col(key).alias("_l"), F.array_distinct(tokens).alias("_t")).withColumn("_n", F.size("_t")).select("_l", "_n", F.explode("_t").alias("_w"))
+    r = each.select("_r", "_i", F.array_distinct("_u").alias("_u")).withColumn("_m", F.size("_u")).select("_r", "_i", "_m", F.explode("_u").alias("_w"))
+    both = l.join(r, "_w").groupBy("_l", "_n", "_r", "_i", "_m").agg(F.count("*").alias("_b"))
+    raw = F.col("_b") / (F.col("_n") + F.col("_m") - F.col("_b"))
+    best = both.groupBy("_l").agg(F.min_by(F.struct("_r", raw.alias("raw")), F.struct((-raw).alias("s"), F.col("_r").alias("r"))).alias("_x"))
+    return best.select(F.col("_l").alias(key), F.col("_x._r").alias(rkey), F.greatest(F.lit(0.01), F.floor(F.col("_x.raw") * 100 + 0.5) / 100).alias("score"))
+
+
+def label_links(compounds: DataFrame, key: str, codes: str, labels: DataFrame, label: str, label_codes: str) -> DataFrame:
+    """(key, labels sorted, boxed): a compound's labels by shared codes; ``codes`` is a list or one value, ``boxed`` the number with a boxed warning."""
+    own = compounds.select(F.col(key), F.explode(F.array_distinct(codes) if compounds.schema[codes].dataType.typeName() == "array" else F.array(codes)).alias("_c"))
+    index = labels.select(F.explode(F.array_distinct(label_codes)).alias("_c"), F.col(label).alias("_l"), "has_boxed_warning")
+    hits = own.where("_c is not null").join(index, "_c").select(key, "_l", "has_boxed_warning").distinct()
+    return hits.groupBy(key).agg(F.array_sort(F.collect_list("_l")).alias("labels"), F.count_if("has_boxed_warning").alias("boxed"))
+
+
+def reverse_buckets(wanted: DataFrame, code: str, compounds: DataFrame, unii: str, codes: str, bridge: DataFrame) -> DataFrame:
+    """Each label code in one of five buckets by what the corpus knows of it.
+
+    bridge(unii, code) maps substances to codes; compounds have a substance and
+    a list of codes. productive: a compound has the code. Else by the code's
+    substances: no_unii_bridge without any, in_corpus_unstamped if a compound of
+    one has no code, in_corpus_stamp_drift if all that are there have other
+    codes, not_in_corpus if none is there. Without a bridge table at all every
+    other code is bridge_missing.
+    """
+    keys = wanted.select(F.col(code).alias("_c")).where("_c is not null").distinct()
+    have = compounds.select(F.explode(codes).alias("_c")).distinct().withColumn("_p", F.lit(True))
+    stamps = compounds.where(F.length(unii) > 0).groupBy(F.col(unii).alias("_u")).agg(F.max(F.coalesce(F.size(codes), F.lit(0)) <= 0).alias("_open"))
+    reach = bridge.select(F.col("unii").alias("_u"), F.col("code").alias("_c")).distinct().join(stamps, "_u", "left").groupBy("_c").agg(F.count("*").alias("_n"), F.count("_open").alias("_in"), F.max("_open").alias("_open"))
+    out = keys.join(have, "_c", "left").join(reach, "_c", "left")
+    bucket = (
+        F.when(F.col("_p"), "productive").when(F.lit(bridge.isEmpty()), "bridge_missing").when(F.col("_n").isNull(), "no_unii_bridge")
+        .when(F.col("_open"), "in_corpus_unstamped").when(F.col("_in") > 0, "in_corpus_stamp_drift").otherwise("not_in_corpus")
+    )
+    return out.select(F.col("_c").alias(code), bucket.alias("bucket"))
+
+
+def target_metadata(refs: DataFrame, target: str, accessions: DataFrame, proteins: DataFrame) -> DataFrame:
+    """Distinct targets with the protein of their first accession that is known; accessions(target, pos, accession), proteins(accession, name)."""
+    hit = accessions.join(proteins.select(F.col("accession"), F.col("name").alias("_name")), "accession")
+    first = hit.groupBy(F.col("target").alias("_t")).agg(F.min_by(F.struct("accession", "_name"), "pos").alias("_m"))
+    own = refs.select(target).where(F.col(target).isNotNull()).distinct()
+    return own.join(first, own[target] == first["_t"], "left").select(target, F.col("_m.accession").alias("accession"), F.col("_m._name").alias("name"))
+
+
 def bidirectional(refs: DataFrame, src: str, dst: str, known: DataFrame, known_key: str) -> DataFrame:
     """(dst, srcs sorted, is_new): who refers to what, and whether the target is missing from the known table."""
     got = refs.where(F.col(dst).isNotNull()).groupBy(dst).agg(F.array_sort(F.collect_set(src)).alias("srcs"))

@@ -64,13 +64,35 @@ def deep(prev: DataFrame, cur: DataFrame, key: str, unions: tuple[str, ...] = ()
     return j.select(*[(F.coalesce(f"c.{key}", f"p.{key}") if n == key else one(n)).alias(n) for n in prev.columns])
 
 
-def fold_deltas(base: DataFrame, deltas: DataFrame, key: str, rank: str) -> DataFrame:
-    """Each field's last value that isn't null, deltas in order of ``rank`` after the base. One shuffle for any number of deltas."""
+def fold_deltas(base: DataFrame, deltas: DataFrame, key: str, rank: str, unions: tuple[str, ...] = ()) -> DataFrame:
+    """Each field's last value that isn't null, deltas in order of ``rank`` after the base. One shuffle for any number of deltas.
+
+    List columns in ``unions`` (of provenance, say) are united in that order
+    instead. Deltas of a null key are skipped; base rows of a null key have
+    nothing to merge with, and are all kept (G12).
+    """
     names = [n for n in base.columns if n != key]
-    both = base.withColumn(rank, F.lit(None).cast(deltas.schema[rank].dataType)).unionByName(deltas.select(*base.columns, rank))
+    keyed = F.col(key).isNotNull()
+    both = base.where(keyed).withColumn(rank, F.lit(None).cast(deltas.schema[rank].dataType)).unionByName(deltas.where(keyed).select(*base.columns, rank))
     # Nulls first: the base stands before every delta.
     order = F.struct(F.col(rank).isNotNull().alias("d"), F.col(rank).alias("r"))
-    return both.groupBy(key).agg(*[F.max_by(n, F.when(F.col(n).isNotNull(), order)).alias(n) for n in names]).select(*base.columns)
+
+    def one(n: str) -> Column:
+        if n not in unions:
+            return F.max_by(n, F.when(F.col(n).isNotNull(), order)).alias(n)
+        lists = F.array_sort(F.collect_list(F.when(F.col(n).isNotNull(), F.struct(order.alias("o"), F.col(n).alias("v")))))
+        return F.array_distinct(F.flatten(F.transform(lists, lambda x: x["v"]))).alias(n)
+
+    folded = both.groupBy(key).agg(*[one(n) for n in names]).select(*base.columns)
+    return folded.unionByName(base.where(~keyed))
+
+
+def shallow(prev: DataFrame, cur: DataFrame, key: str, given: str) -> DataFrame:
+    """Current records over previous ones, field by field, where ``given`` lists the fields that the current record has: one that it has as null overwrites."""
+    names = [n for n in prev.columns if n != key]
+    j = prev.alias("p").join(cur.alias("c"), F.col(f"p.{key}") == F.col(f"c.{key}"), "full_outer")
+    has = lambda n: F.coalesce(F.array_contains(f"c.{given}", n), F.lit(False))
+    return j.select(F.coalesce(f"c.{key}", f"p.{key}").alias(key), *[F.when(has(n), F.col(f"c.{n}")).otherwise(F.col(f"p.{n}")).alias(n) for n in names])
 
 
 def retry_queue(queue: DataFrame, failures: DataFrame, successes: DataFrame, now: Column, most: int = 10) -> DataFrame:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -126,3 +128,52 @@ class TokenBucket:
         self.tokens = min(self.burst, self.tokens + (now - self.at) * self.rate)
         self.at, self.tokens = now, self.tokens - 1
         return max(0.0, -self.tokens / self.rate)
+
+
+CHUNK = 5000
+
+
+def next_cursors(before: DataFrame, runs: DataFrame, now, chunk: int | None = None) -> DataFrame:
+    """Each source's cursor after a run: where it goes on, how many cycles are complete, what the run did.
+
+    before(source, cursor_id, chunk_size, cycles_completed), runs(source,
+    next_cursor_id, wrapped, processed, eligible). A chunk size that isn't given
+    stays as it was. Sources without a run keep their cursor.
+    """
+    old = before.select("source", F.col("cursor_id").alias("_c"), F.col("chunk_size").alias("_s"), F.col("cycles_completed").alias("_n"))
+    j = old.join(runs, "source", "full_outer")
+    ran = F.col("processed").isNotNull()
+    return j.select(
+        "source", F.when(ran, F.col("next_cursor_id")).otherwise(F.col("_c")).alias("cursor_id"), F.coalesce(F.lit(chunk).cast("int"), "_s", F.lit(CHUNK)).alias("chunk_size") if chunk else F.coalesce("_s", F.lit(CHUNK)).alias("chunk_size"),
+        F.coalesce("processed", F.lit(0)).alias("processed_in_run"), (F.coalesce("_n", F.lit(0)) + F.when(F.col("wrapped"), 1).otherwise(0)).alias("cycles_completed"), F.when(ran, now).alias("last_run"), F.col("eligible").alias("total_eligible_at_last_run"),
+    )
+
+
+def snapshot_id(date: str, run_id: str, attempt: str = "1") -> str:
+    """A snapshot's id, its own for each attempt of a run."""
+    return f"{date}/{run_id}-{attempt if attempt.isdigit() else '1'}"
+
+
+def object_prefix(snapshot: str) -> str:
+    """Where a snapshot's files are; ends with a slash."""
+    return f"snapshots/{snapshot}/"
+
+
+def shard_key(prefix: Column, family: str, bucket: Column, shard: Column) -> Column:
+    """The key of a shard; of a bucket's manifest where ``shard`` is null."""
+    at = F.concat(prefix, F.lit(f"{family}/bucket-"), F.lpad(bucket.cast("string"), 4, "0"))
+    return F.coalesce(F.concat(at, F.lit("/shard-"), F.lpad(shard.cast("string"), 3, "0"), F.lit(".bin")), F.concat(at, F.lit("/manifest.json")))
+
+
+def sealed(manifest: DataFrame, required: list[str]) -> str:
+    """X11: the seal of a candidate: a hash over its tables, rows and bytes in order. A required table that is missing or empty raises."""
+    rows = {r["table"]: (r["records"], r["bytes"]) for r in manifest.select("table", "records", "bytes").collect()}
+    if bad := sorted(t for t in required if not rows.get(t, (0, 0))[0]):
+        raise ValueError(f"required tables missing or empty: {bad}")
+    return hashlib.sha256(json.dumps(sorted((t, *v) for t, v in rows.items())).encode()).hexdigest()
+
+
+def validate(manifest: DataFrame, seal: str, required: list[str]) -> None:
+    """X11: raises unless the tables as they are now give the seal."""
+    if sealed(manifest, required) != seal:
+        raise ValueError("the candidate isn't what was sealed")

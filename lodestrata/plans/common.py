@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,3 +29,13 @@ class Registry:
             return f
 
         return add
+
+
+def workspace(spark: SparkSession, name: str) -> str:
+    """A new folder's path for a query that writes: below the shared folder of the session, which only local mode may lack."""
+    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not at:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir names no folder that the executors share")
+        at = "file://" + tempfile.mkdtemp(prefix="lodestrata-")
+    return f"{at.rstrip('/')}/plans/{name}-{uuid.uuid4().hex}"

@@ -164,31 +164,45 @@ def lipinski_like(t, spark):
 
 
 @register("""
-WITH s AS (SELECT ps.l_partkey, list(DISTINCT ps.src) AS srcs, count(DISTINCT ps.src) AS n, sum(ps.w) AS bonus FROM (
-    SELECT DISTINCT l_partkey, CASE l_returnflag WHEN 'A' THEN 'pubchem' WHEN 'N' THEN 'chembl' ELSE 'clinicaltrials' END AS src, CASE l_returnflag WHEN 'R' THEN 5 ELSE 10 END AS w FROM lineitem WHERE l_quantity >= 49) ps GROUP BY 1)
-SELECT l_partkey, n::INT AS n_sources, CASE WHEN n = 1 THEN 40 + least(20, bonus) ELSE least(100, 80 + (n - 2) * 3 + least(15, floor(bonus / 2.0 + 0.5))) END::INT AS score FROM s
+WITH f AS (SELECT l_partkey, count(DISTINCT l_linestatus) > 1 AS fits, min(l_quantity) <= 2 AS clash FROM lineitem GROUP BY 1),
+s AS (SELECT l_partkey, count(*) AS n, sum(w) AS bonus FROM (SELECT DISTINCT l_partkey, l_returnflag, CASE l_returnflag WHEN 'R' THEN 5 ELSE 10 END AS w FROM lineitem) GROUP BY 1)
+SELECT l_partkey, n::INT AS n_sources, greatest(0, CASE WHEN n = 1 THEN least(60, 40 + least(20, bonus) - CASE WHEN clash THEN 15 ELSE 0 END) ELSE least(100, 80 + (n - 2) * 3 + CASE WHEN fits THEN 5 ELSE 0 END + least(15, floor(bonus / 2.0 + 0.5)) - CASE WHEN clash THEN 30 ELSE 0 END) END)::INT AS score FROM s JOIN f USING (l_partkey)
 """)
 def source_scores(t, spark):
-    """A fact's score by the sources that have it."""
+    """A fact's score by the sources that have it, whether its structure fits, and conflicts."""
     src = F.when(F.col("l_returnflag") == "A", "pubchem").when(F.col("l_returnflag") == "N", "chembl").otherwise("clinicaltrials")
-    s = t("lineitem").groupBy("l_partkey").agg(F.array_sort(F.collect_set(src)).alias("srcs"))
-    return s.select("l_partkey", F.size("srcs").alias("n_sources"), rules.source_score(F.col("srcs"), F.lit(False), F.lit(False)).cast("int").alias("score"))
+    s = t("lineitem").groupBy("l_partkey").agg(F.array_sort(F.collect_set(src)).alias("srcs"), (F.min("l_linestatus") != F.max("l_linestatus")).alias("fits"), (F.min("l_quantity") <= 2).alias("clash"))
+    return s.select("l_partkey", F.size("srcs").alias("n_sources"), rules.source_score(F.col("srcs"), F.col("fits"), F.col("clash")).cast("int").alias("score"))
 
 
 @register("""
-WITH s AS (SELECT o_custkey, count(DISTINCT o_orderstatus) AS n, bool_or(o_orderstatus = 'F') AS f, bool_or(o_orderstatus = 'O') AS o, sum(DISTINCT CASE o_orderstatus WHEN 'F' THEN 1010 WHEN 'O' THEN 2010 ELSE 3005 END) AS w FROM orders GROUP BY 1),
-b AS (SELECT *, (w % 1000) AS bonus FROM s),
-d AS (SELECT *, CASE WHEN n = 1 THEN 40 + least(20, bonus) ELSE least(100, 80 + (n - 2) * 3 + least(15, floor(bonus / 2.0 + 0.5))) END AS sc FROM b),
-e AS (SELECT *, floor((sc * 0.4::DOUBLE + CASE WHEN f THEN sc * 0.3::DOUBLE ELSE 0 END + CASE WHEN o AND false THEN 0 ELSE 0 END + 100 * 0.1::DOUBLE) / (0.4::DOUBLE + CASE WHEN f THEN 0.3::DOUBLE ELSE 0 END + 0.1::DOUBLE) + 0.5) AS ov FROM d)
+WITH s AS (SELECT o_custkey, count(DISTINCT o_orderstatus) AS n, bool_or(o_orderstatus = 'F') AS f, bool_or(o_orderstatus = 'O') AS o, sum(DISTINCT CASE o_orderstatus WHEN 'F' THEN 1010 WHEN 'O' THEN 2005 ELSE 3005 END) % 1000 AS bonus FROM orders GROUP BY 1),
+d AS (SELECT *, CASE WHEN n = 1 THEN 40 + least(20, bonus) ELSE least(100, 80 + (n - 2) * 3 + least(15, floor(bonus / 2.0 + 0.5))) END AS sc FROM s),
+e AS (SELECT *, floor((sc * 0.4::DOUBLE + sc * f::INT * 0.3::DOUBLE + sc * o::INT * 0.2::DOUBLE + 100 * 0.1::DOUBLE) / (0.4::DOUBLE + f::INT * 0.3::DOUBLE + o::INT * 0.2::DOUBLE + 0.1::DOUBLE) + 0.5) AS ov FROM d)
 SELECT o_custkey, CASE WHEN n = 1 THEN least(60, ov) ELSE ov END::INT AS overall FROM e
 """)
 def entity_scores(t, spark):
     """The weighted mean over the dimensions that an entity has, at most 60 from one source."""
-    src = F.when(F.col("o_orderstatus") == "F", "chembl").when(F.col("o_orderstatus") == "O", "pubchem").otherwise("openalex")
+    src = F.when(F.col("o_orderstatus") == "F", "chembl").when(F.col("o_orderstatus") == "O", "clinicaltrials").otherwise("openalex")
     s = t("orders").groupBy("o_custkey").agg(F.array_sort(F.collect_set(src)).alias("srcs"))
     return s.select("o_custkey", rules.entity_score(F.col("srcs"), F.lit(False), F.lit(False), F.lit(True), F.lit(True)).cast("int").alias("overall"))
 
 
+@register("""
+WITH e AS (SELECT user_id, count(*) FILTER (WHERE event_type = 'purchase') AS trials, count(*) FILTER (WHERE event_type = 'signup') AS activities, count(*) FILTER (WHERE event_type = 'error') AS negatives, count(*) FILTER (WHERE event_type = 'error' AND value > 240) AS critical, count(*) FILTER (WHERE event_type = 'view' AND value > 200) AS retracted FROM events GROUP BY 1)
+SELECT user_id, CASE WHEN critical > 0 THEN 'Critical negative signal present (drug withdrawal / black box). Repurposing is not viable without explicit risk-benefit reassessment.'
+  WHEN trials + activities = 0 AND negatives = 0 AND retracted = 0 THEN 'No repurposing evidence on file. Insufficient data to recommend.' WHEN trials + activities = 0 AND retracted > 0 THEN 'No positive evidence; only retracted-paper signals present. Treat any historical claim with caution.'
+  WHEN trials >= 2 AND negatives <= 2 THEN 'Multiple progressed trials and few negative signals — strong repurposing candidate.' WHEN trials + activities > 0 AND negatives = 0 THEN 'Positive evidence present with no negative signals on record.'
+  WHEN trials + activities > 0 AND negatives > 2 THEN 'Positive evidence weighed against multiple negative signals. Agent should surface both layers.' ELSE 'Sparse evidence; treat any single-source claim with caution.' END AS recommendation FROM e
+""")
+def recommendations(t, spark):
+    """What a subject's evidence recommends."""
+    kind = F.col("event_type")
+    n = lambda test, name: F.count_if(test).alias(name)
+    e = t("events").groupBy("user_id").agg(n(kind == "purchase", "trials"), n(kind == "signup", "activities"), n(kind == "error", "negatives"), n((kind == "error") & (F.col("value") > 240), "critical"), n((kind == "view") & (F.col("value") > 200), "retracted"))
+    return e.select("user_id", rules.judged(*(F.col(c) for c in ("trials", "activities", "negatives", "critical", "retracted")))["recommendation"].alias("recommendation"))
+
+
 @register("""
 WITH u AS (
   SELECT 'trial::' || l_orderkey || '-' || l_linenumber AS id, 'trial_failure' AS evidence_type, l_partkey::VARCHAR AS subject, CASE WHEN l_quantity >= 45 THEN 'critical' ELSE 'minor' END AS severity FROM lineitem WHERE l_returnflag = 'R'

@@ -63,7 +63,7 @@ def cumulative_merge(t, spark):
 
 @register("""
 WITH p AS (SELECT user_id AS k, max(CASE WHEN event_type = 'error' THEN value END) AS a, max(CASE WHEN user_id % 2 = 0 THEN event_type ELSE '' END) AS b, list_sort(list(DISTINCT event_type) FILTER (WHERE value > 60)) AS s FROM events WHERE ts < TIMESTAMP '2024-01-10' GROUP BY 1),
-c AS (SELECT user_id AS k, max(CASE WHEN value > 150 THEN value END) AS a, min(CASE WHEN user_id % 3 = 0 THEN event_type ELSE '' END) AS b, list_sort(list(DISTINCT event_type) FILTER (WHERE value > 90)) AS s FROM events WHERE ts >= TIMESTAMP '2024-01-28' GROUP BY 1),
+c AS (SELECT user_id AS k, max(CASE WHEN value > 150 THEN value END) AS a, min(CASE WHEN user_id % 3 = 0 THEN event_type ELSE '' END) AS b, list_sort(list(DISTINCT event_type) FILTER (WHERE value > 90)) AS s FROM events WHERE ts >= TIMESTAMP '2024-01-10' GROUP BY 1),
 m AS (SELECT coalesce(c.k, p.k) AS k, coalesce(c.a, p.a) AS a, coalesce(nullif(c.b, ''), p.b, c.b) AS b, list_sort(list_distinct(list_concat(coalesce(p.s, []), coalesce(c.s, [])))) AS s FROM p FULL JOIN c ON p.k = c.k)
 SELECT k, a, b, array_to_string(s, ',') AS s FROM m
 """)
@@ -71,21 +71,33 @@ def deep_merge(t, spark):
     """Fields filled, not replaced; lists united."""
     e = t("events").withColumnRenamed("user_id", "k")
     prev = e.where("ts < timestamp '2024-01-10'").groupBy("k").agg(F.max(F.expr("case when event_type = 'error' then value end")).alias("a"), F.max(F.expr("case when k % 2 = 0 then event_type else '' end")).alias("b"), F.array_sort(F.collect_set(F.expr("case when value > 60 then event_type end"))).alias("s"))
-    cur = e.where("ts >= timestamp '2024-01-28'").groupBy("k").agg(F.max(F.expr("case when value > 150 then value end")).alias("a"), F.min(F.expr("case when k % 3 = 0 then event_type else '' end")).alias("b"), F.array_sort(F.collect_set(F.expr("case when value > 90 then event_type end"))).alias("s"))
+    cur = e.where("ts >= timestamp '2024-01-10'").groupBy("k").agg(F.max(F.expr("case when value > 150 then value end")).alias("a"), F.min(F.expr("case when k % 3 = 0 then event_type else '' end")).alias("b"), F.array_sort(F.collect_set(F.expr("case when value > 90 then event_type end"))).alias("s"))
     return merge.deep(prev, cur, "k", ("s",)).withColumn("s", F.array_join(F.array_sort("s"), ","))
 
 
 @register("""
-WITH b AS (SELECT c_custkey AS k, c_mktsegment AS seg, c_acctbal AS bal FROM customer),
-d AS (SELECT user_id AS k, CASE WHEN event_type = 'signup' THEN event_type END AS seg, CASE WHEN event_type = 'purchase' THEN value END AS bal, event_id AS r FROM events),
-u AS (SELECT k, seg, bal, -1 AS r FROM b UNION ALL SELECT * FROM d)
-SELECT k, arg_max(seg, r) FILTER (WHERE seg IS NOT NULL) AS seg, arg_max(bal, r) FILTER (WHERE bal IS NOT NULL) AS bal FROM u GROUP BY k
+WITH b AS (SELECT CASE WHEN c_custkey % 50 > 0 THEN c_custkey END AS k, c_mktsegment AS seg, c_acctbal AS bal, 'base' AS src FROM customer),
+d AS (SELECT CASE WHEN event_id % 9 > 0 THEN user_id END AS k, CASE WHEN event_type = 'signup' THEN event_type END AS seg, CASE WHEN event_type = 'purchase' THEN value END AS bal, event_type AS src, event_id AS r FROM events),
+u AS (SELECT k, seg, bal, src, -1 AS r FROM b WHERE k IS NOT NULL UNION ALL SELECT * FROM d WHERE k IS NOT NULL)
+SELECT k, arg_max(seg, r) FILTER (WHERE seg IS NOT NULL) AS seg, arg_max(bal, r) FILTER (WHERE bal IS NOT NULL) AS bal, array_to_string(list_sort(list(DISTINCT src)), ',') AS sources FROM u GROUP BY k UNION ALL SELECT k, seg, bal, src FROM b WHERE k IS NULL
 """)
 def delta_fold(t, spark):
-    """Each field's last value that isn't null, over a base and deltas in order."""
-    base = t("customer").select(F.col("c_custkey").alias("k"), F.col("c_mktsegment").alias("seg"), F.col("c_acctbal").alias("bal"))
-    deltas = t("events").select(F.col("user_id").alias("k"), F.expr("case when event_type = 'signup' then event_type end").alias("seg"), F.expr("case when event_type = 'purchase' then value end").alias("bal"), F.col("event_id").alias("r"))
-    return merge.fold_deltas(base, deltas, "k", "r")
+    """Each field's last value that isn't null, over a base and deltas in order; provenance united; base rows without a key all kept, such deltas skipped."""
+    base = t("customer").select(F.when(F.col("c_custkey") % 50 > 0, F.col("c_custkey")).alias("k"), F.col("c_mktsegment").alias("seg"), F.col("c_acctbal").alias("bal"), F.array(F.lit("base")).alias("sources"))
+    deltas = t("events").select(F.when(F.col("event_id") % 9 > 0, F.col("user_id")).alias("k"), F.expr("case when event_type = 'signup' then event_type end").alias("seg"), F.expr("case when event_type = 'purchase' then value end").alias("bal"), F.array("event_type").alias("sources"), F.col("event_id").alias("r"))
+    return merge.fold_deltas(base, deltas, "k", "r", ("sources",)).withColumn("sources", F.array_join(F.array_sort("sources"), ","))
+
+
+@register("""
+WITH p AS (SELECT user_id AS k, max(value) AS a, max(event_type) AS b FROM events WHERE event_type <> 'view' GROUP BY 1), c AS (SELECT user_id AS k, CASE WHEN max(value) > 200 THEN max(value) END AS a, min(event_type) AS b FROM events WHERE event_id % 3 = 0 GROUP BY 1)
+SELECT coalesce(c.k, p.k) AS k, CASE WHEN c.k IS NOT NULL THEN c.a ELSE p.a END AS a, CASE WHEN c.k % 2 = 0 THEN c.b ELSE p.b END AS b FROM p FULL JOIN c ON p.k = c.k
+""")
+def shallow_merge(t, spark):
+    """A current record's fields over the previous one's, nulls that it has too."""
+    e = t("events").withColumnRenamed("user_id", "k")
+    prev = e.where("event_type <> 'view'").groupBy("k").agg(F.max("value").alias("a"), F.max("event_type").alias("b"))
+    cur = e.where("event_id % 3 = 0").groupBy("k").agg(F.expr("case when max(value) > 200 then max(value) end").alias("a"), F.min("event_type").alias("b"))
+    return merge.shallow(prev, cur.withColumn("given", F.when(F.col("k") % 2 == 0, F.array(F.lit("a"), F.lit("b"))).otherwise(F.array(F.lit("a")))), "k", "given")
 
 
 @register("""
@@ -120,26 +132,39 @@ def xref_index(t, spark):
     return index.xrefs(t("part"), "p_partkey", {"brand": F.col("p_brand"), "name": F.col("p_name"), "type": F.when(F.col("p_size") > 10, F.col("p_type"))})
 
 
-@register("""
-WITH q AS (SELECT c_custkey, CASE c_custkey % 6 WHEN 0 THEN 'CID:' || c_custkey WHEN 1 THEN ' chembl' || c_custkey || ' ' WHEN 2 THEN 'UNII:abcdefgh' || lpad((c_custkey % 100)::VARCHAR, 2, '0') WHEN 3 THEN 'db' || lpad((c_custkey % 100000)::VARCHAR, 5, '0') WHEN 4 THEN 'RXCUI:' || c_custkey ELSE c_name END AS raw FROM customer)
-SELECT c_custkey, CASE c_custkey % 6 WHEN 0 THEN 'pubchem_cid' WHEN 1 THEN 'chembl_id' WHEN 2 THEN 'unii' WHEN 3 THEN 'drugbank_id' WHEN 4 THEN 'rxcui' END AS kind,
-  CASE c_custkey % 6 WHEN 0 THEN c_custkey::VARCHAR WHEN 1 THEN upper(trim(raw)) WHEN 2 THEN upper(substr(raw, 6)) WHEN 3 THEN upper(raw) WHEN 4 THEN c_custkey::VARCHAR END AS normalized FROM q
+_K = "cast(c_custkey AS {})"
+_RAW = f"""CASE c_custkey % 20 WHEN 0 THEN 'CID:' || {_K} WHEN 1 THEN ' chembl' || {_K} || ' ' WHEN 2 THEN 'UNII:abcdefgh' || lpad({_K}, 2, '0') WHEN 3 THEN 'db' || lpad({_K}, 5, '0') WHEN 4 THEN 'RXCUI:' || {_K} WHEN 5 THEN c_name
+  WHEN 6 THEN 'lode::compound::CID:' || {_K} WHEN 7 THEN {_K} WHEN 8 THEN 'bsynrymutxbxsq-uhfffaoysa-' || substr(c_mktsegment, 1, 1) WHEN 9 THEN 'chebi:' || {_K} WHEN 10 THEN 'KEGG:d' || lpad({_K}, 5, '0') WHEN 11 THEN 'D' || lpad({_K}, 5, '0') WHEN 12 THEN 'DB' || {_K}
+  WHEN 13 THEN 'UNII:' || {_K} WHEN 14 THEN 'CHEMBL' WHEN 15 THEN 'RXCUI: ' || {_K} WHEN 16 THEN '' WHEN 17 THEN 'CID:-' || {_K} WHEN 18 THEN 'x::compound::cid:' || {_K} END"""
+# The chain of shapes as SQL has it: full matches, in order, whatever the case.
+_SHAPES = (
+    ("pubchem_cid", "(?:[a-z]+::compound::CID:|CID:)?([0-9]+)", "{}"), ("chembl_id", "(CHEMBL[0-9]+)", "upper({})"), ("inchi_key", "([A-Z]{{14}}-[A-Z]{{10}}-[A-Z])", "upper({})"), ("unii", "UNII:([A-Z0-9]{{10}})", "upper({})"),
+    ("drugbank_id", "(DB[0-9]{{5}})", "upper({})"), ("chebi_id", "CHEBI:([0-9]+)", "'CHEBI:' || {}"), ("kegg_drug_id", "(?:KEGG:)?(D[0-9]{{5}})", "upper({})"), ("rxcui", "RXCUI:([0-9]+)", "{}"),
+)
+_chain = lambda value: " ".join(f"WHEN regexp_full_match(x, '(?i){p.format()}') THEN {value(k, p.format(), f)}" for k, p, f in _SHAPES)
+
+
+@register(f"""
+WITH q AS (SELECT c_custkey, trim({_RAW.format(*["VARCHAR"] * 30)}) AS x FROM customer)
+SELECT c_custkey, CASE {_chain(lambda k, p, f: f"'{k}'")} END AS kind, CASE {_chain(lambda k, p, f: f.format(f"regexp_extract(x, '(?i)^{p}$', 1)"))} END AS normalized FROM q
 """)
 def resolve_identifier(t, spark):
-    """Identifiers of any kind by an ordered chain of shapes."""
-    k = F.col("c_custkey")
-    raw = F.when(k % 6 == 0, F.concat(F.lit("CID:"), k.cast("string"))).when(k % 6 == 1, F.concat(F.lit(" chembl"), k.cast("string"), F.lit(" "))).when(k % 6 == 2, F.concat(F.lit("UNII:abcdefgh"), F.lpad((k % 100).cast("string"), 2, "0")))
-    raw = raw.when(k % 6 == 3, F.concat(F.lit("db"), F.lpad((k % 100000).cast("string"), 5, "0"))).when(k % 6 == 4, F.concat(F.lit("RXCUI:"), k.cast("string"))).otherwise(F.col("c_name"))
-    got = t("customer").select("c_custkey", text.identifier(raw).alias("i"))
+    """Identifiers of all eight kinds, and of none, by an ordered chain of shapes."""
+    got = t("customer").select("c_custkey", text.identifier(F.expr(_RAW.format(*["STRING"] * 30))).alias("i"))
     return got.select("c_custkey", "i.kind", "i.normalized")
 
 
-@register("SELECT c_custkey, CASE WHEN c_custkey % 3 = 2 THEN NULL WHEN c_custkey >= 1 THEN c_custkey END AS number FROM customer")
+_NUMBER = f"""CASE c_custkey % 9 WHEN 0 THEN 'lode%3A%3Acompound%3A%3ACID%3A' || {_K} WHEN 1 THEN 'cid:' || {_K} WHEN 2 THEN {_K} || 'x' WHEN 3 THEN ' ' || {_K} WHEN 4 THEN '0' WHEN 5 THEN '1' || lpad({_K}, 10, '0') WHEN 6 THEN 'CID%3A' || {_K}
+  WHEN 7 THEN 'lode::compound::CID:' || {_K} ELSE '99999999999999' END"""
+
+
+@register(f"""
+WITH q AS (SELECT c_custkey, regexp_extract(trim(replace({_NUMBER.format(*["VARCHAR"] * 9)}, '%3A', ':')), '(?i)^(?:[a-z]+::compound::CID:|CID:)?([0-9]{{1,11}})$', 1) AS x FROM customer)
+SELECT c_custkey, CASE WHEN x <> '' AND x::BIGINT BETWEEN 1 AND 10000000000 THEN x::BIGINT END AS number FROM q
+""")
 def compound_numbers(t, spark):
     """Percent-encoded canonical ids, CID:n and plain numbers, in range."""
-    k = F.col("c_custkey").cast("string")
-    raw = F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit("lode%3A%3Acompound%3A%3ACID%3A"), k)).when(F.col("c_custkey") % 3 == 1, F.concat(F.lit("cid:"), k)).otherwise(F.concat(k, F.lit("x")))
-    return t("customer").select("c_custkey", text.compound_number(raw).alias("number"))
+    return t("customer").select("c_custkey", text.compound_number(F.expr(_NUMBER.format(*["STRING"] * 9))).alias("number"))
 
 
 @register("SELECT p_partkey, substr(sha256('lode:part:part.v1.0:' || p_name || p_partkey), 1, 32) AS sid_s, substr(sha256('lode:part:' || (row_number() OVER (ORDER BY p_partkey) + 99)), 1, 32) AS sid_c FROM part")
@@ -174,11 +199,10 @@ def fnv_buckets(t, spark):
     return t("customer").select("c_custkey", ident.fnv1a(F.col("c_name")).alias("hash"), ident.bucket(F.col("c_name")).alias("bucket"))
 
 
-@register(f"SELECT p_partkey, lower(to_hex({_FNV.format('p_name')}))[-8:] AS hash FROM part WHERE {_FNV.format('p_name')} >= 268435456")
+@register(f"SELECT p_partkey, lpad(lower(to_hex({_FNV.format('p_name')})), 8, '0') AS hash FROM part")
 def short_hash(t, spark):
     """FNV-1a over UTF-16 units (the same as over bytes for ASCII), as hex."""
-    got = t("part").select("p_partkey", ident.fnv1a_utf16(F.col("p_name")).alias("hash"))
-    return got.where(F.substring("hash", 1, 1) != "0")
+    return t("part").select("p_partkey", ident.fnv1a_utf16(F.col("p_name")).alias("hash"))
 
 
 @register("SELECT c_custkey, sha256('{\"b\":{\"x\":' || c_nationkey || ',\"y\":null},\"k\":' || c_custkey || ',\"n\":\"' || c_name || '\"}') AS hash FROM customer")

@@ -38,7 +38,7 @@ def array_containment_join(t, spark):
 
 @register("""
 SELECT c_custkey, coalesce(sum(n), 0)::BIGINT AS n_lines, coalesce(array_to_string(list_sort(list(DISTINCT k)), ','), '') AS suppliers FROM customer LEFT JOIN (
-  SELECT o_custkey, l_suppkey AS k, count(*) AS n FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE l_quantity >= 48 GROUP BY 1, 2) ON c_custkey = o_custkey GROUP BY 1
+  SELECT o_custkey, l_suppkey AS k, count(*) AS n FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1, 2) ON c_custkey = o_custkey GROUP BY 1
 """)
 def nested_list_join(t, spark):
     """Lists of references resolved inside lists, by exploding, joining and nesting again."""
@@ -50,7 +50,7 @@ def nested_list_join(t, spark):
 
 
 @register(f"""
-WITH a AS (SELECT DISTINCT unnest(supps) AS k FROM (SELECT * FROM {_SUPPLIERS} WHERE l_partkey % 10 = 0)), b AS (SELECT DISTINCT s_suppkey AS k FROM supplier WHERE s_acctbal > 1000)
+WITH a AS (SELECT DISTINCT unnest(supps) AS k FROM {_SUPPLIERS}), b AS (SELECT DISTINCT s_suppkey AS k FROM supplier WHERE s_acctbal > 1000)
 SELECT coalesce(a.k, b.k) AS k, a.k IS NOT NULL AS in_primary, b.k IS NOT NULL AS in_secondary, concat_ws(',', CASE WHEN a.k IS NOT NULL THEN 'primary' END, CASE WHEN b.k IS NOT NULL THEN 'secondary' END) AS sources FROM a FULL JOIN b ON a.k = b.k
 """)
 def two_source_build(t, spark):
@@ -139,16 +139,13 @@ _TOKENS_SQL = "list_distinct(list_filter(string_split(regexp_replace(lower({}),
 
 
 @register(f"""
-WITH d AS (SELECT doc_id, {_TOKENS_SQL.format("string_split(text, chr(10))[1]")} AS t FROM documents), b AS (SELECT item_id, {_TOKENS_SQL.format("text")} AS t FROM benchmark),
+WITH d AS (SELECT doc_id, {_TOKENS_SQL.format("text")} AS t FROM documents), b AS (SELECT item_id, {_TOKENS_SQL.format("text")} AS t FROM benchmark),
 m AS (SELECT doc_id, item_id, d.n AS n, b.n AS m, count(*) AS k FROM (SELECT doc_id, len(t) AS n, unnest(t) AS w FROM d) d JOIN (SELECT item_id, len(t) AS n, unnest(t) AS w FROM b) b USING (w) GROUP BY ALL),
 r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY k::DOUBLE / (n + m - k) DESC, item_id) AS o FROM m)
 SELECT doc_id, item_id, greatest(0.01::DOUBLE, floor(k::DOUBLE / (n + m - k) * 100 + 0.5) / 100) AS score FROM r WHERE o = 1
 """)
 def jaccard_link(t, spark):
-    """Each document to the nearest benchmark text by token sets, over whole texts.
-
-    The SQL still reads first lines only, so its rows differ for documents of several lines.
-    """
+    """each document to the nearest benchmark text by token sets, over whole texts."""
     from ..functions.text import link_tokens
 
     d = t("documents").select("doc_id", link_tokens(F.col("text")).alias("t"))
@@ -156,8 +153,67 @@ def jaccard_link(t, spark):
     return joins.set_similarity_join(d, b, "doc_id", "t", "item_id", "u")
 
 
+@register(f"""
+WITH d AS (SELECT doc_id, {_TOKENS_SQL.format("text")} AS t FROM documents), b AS (SELECT item_id, unnest([text, array_to_string(string_split(text, ' ')[1:8], ' '), reverse(text)]) AS s FROM benchmark),
+c AS (SELECT item_id, s, {_TOKENS_SQL.format("s")} AS t FROM b),
+m AS (SELECT doc_id, item_id, s, d.n AS n, c.n AS m, count(*) AS k FROM (SELECT doc_id, len(t) AS n, unnest(t) AS w FROM d) d JOIN (SELECT item_id, s, len(t) AS n, unnest(t) AS w FROM c) c USING (w) GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY k::DOUBLE / (n + m - k) DESC, item_id) AS o FROM m)
+SELECT doc_id, item_id, greatest(0.01::DOUBLE, floor(k::DOUBLE / (n + m - k) * 100 + 0.5) / 100) AS score FROM r WHERE o = 1
+""")
+def concept_link(t, spark):
+    """Each document to the concept that one of its strings is nearest to."""
+    from ..functions.text import link_tokens
+
+    d = t("documents").select("doc_id", link_tokens(F.col("text")).alias("t"))
+    strings = F.array(F.col("text"), F.array_join(F.slice(F.split("text", " "), 1, 8), " "), F.reverse("text"))
+    return joins.set_similarity_best(d, t("benchmark").select("item_id", F.transform(strings, link_tokens).alias("u")), "doc_id", "t", "item_id", "u")
+
+
+@register("""
+WITH c AS (SELECT c_custkey AS id, unnest([c_custkey % 40, c_custkey % 9]) AS code FROM customer), l AS (SELECT p_partkey AS label, unnest([p_partkey % 60, p_size]) AS code, p_size > 30 AS boxed FROM part),
+h AS (SELECT DISTINCT id, label, boxed FROM c JOIN l USING (code))
+SELECT id, count(*) AS n_labels, min(label) AS first, sum(boxed::INT)::BIGINT AS boxed FROM h GROUP BY id
+""")
+def label_links(t, spark):
+    """Compounds to labels by shared codes."""
+    c = t("customer").select(F.col("c_custkey").alias("id"), F.array(F.col("c_custkey") % 40, F.col("c_custkey") % 9).alias("codes"))
+    labels = t("part").select(F.col("p_partkey").alias("label"), F.array(F.col("p_partkey") % 60, F.col("p_size").cast("long")).alias("codes"), (F.col("p_size") > 30).alias("has_boxed_warning"))
+    got = joins.label_links(c, "id", "codes", labels, "label", "codes")
+    return got.select("id", F.size("labels").cast("long").alias("n_labels"), F.array_min("labels").alias("first"), "boxed")
+
+
+@register("""
+WITH w AS (SELECT DISTINCT p_partkey % 700 AS code FROM part), c AS (SELECT 'U' || (c_custkey % 900) AS unii, CASE WHEN c_custkey % 3 = 0 THEN c_custkey % 400 END AS code FROM customer),
+b AS (SELECT DISTINCT 'U' || s_suppkey % 1000 AS unii, s_suppkey * 3 % 700 AS code FROM supplier UNION SELECT DISTINCT 'U' || (o_orderkey % 1200), o_orderkey % 650 FROM orders),
+s AS (SELECT unii, bool_or(code IS NULL) AS open FROM c GROUP BY unii), r AS (SELECT b.code, count(*) AS n, count(s.unii) AS inside, bool_or(open) AS open FROM b LEFT JOIN s USING (unii) GROUP BY b.code)
+SELECT code, CASE WHEN code IN (SELECT code FROM c WHERE code IS NOT NULL) THEN 'productive' WHEN n IS NULL THEN 'no_unii_bridge' WHEN open THEN 'in_corpus_unstamped' WHEN inside > 0 THEN 'in_corpus_stamp_drift' ELSE 'not_in_corpus' END AS bucket FROM w LEFT JOIN r USING (code)
+""")
+def reverse_buckets(t, spark):
+    """Label codes by what the corpus knows of them."""
+    s = lambda c: F.concat(F.lit("U"), c.cast("string"))
+    wanted = t("part").select((F.col("p_partkey") % 700).alias("code"))
+    k = F.col("c_custkey")
+    compounds = t("customer").select(s(k % 900).alias("unii"), F.when(k % 3 == 0, F.array(k % 400)).otherwise(F.array().cast("array<bigint>")).alias("codes"))
+    bridge = t("supplier").select(s(F.col("s_suppkey") % 1000).alias("unii"), (F.col("s_suppkey") * 3 % 700).alias("code")).union(t("orders").select(s(F.col("o_orderkey") % 1200), F.col("o_orderkey") % 650))
+    return joins.reverse_buckets(wanted, "code", compounds, "unii", "codes", bridge)
+
+
+@register("""
+WITH a AS (SELECT l_partkey, l_suppkey, row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber, l_suppkey) AS pos FROM lineitem), p AS (SELECT s_suppkey, s_name FROM supplier WHERE s_suppkey % 3 > 0),
+m AS (SELECT l_partkey, arg_min(l_suppkey, pos) AS accession, arg_min(s_name, pos) AS name FROM a JOIN p ON l_suppkey = s_suppkey GROUP BY 1)
+SELECT DISTINCT l.l_partkey, accession, name FROM lineitem l LEFT JOIN m ON l.l_partkey = m.l_partkey
+""")
+def target_metadata(t, spark):
+    """Distinct targets with their first known accession's protein."""
+    from pyspark.sql import Window
+
+    a = t("lineitem").select("l_partkey", F.col("l_suppkey").alias("accession"), F.row_number().over(Window.partitionBy("l_partkey").orderBy("l_orderkey", "l_linenumber", "l_suppkey")).alias("pos")).withColumnRenamed("l_partkey", "target")
+    p = t("supplier").where("s_suppkey % 3 > 0").select(F.col("s_suppkey").alias("accession"), F.col("s_name").alias("name"))
+    return joins.target_metadata(t("lineitem").select("l_partkey"), "l_partkey", a, p)
+
+
 @register("""
-WITH r AS (SELECT l_suppkey, array_to_string(list_sort(list(DISTINCT l_partkey)), ',') AS srcs FROM lineitem WHERE l_quantity = 50 GROUP BY 1)
+WITH r AS (SELECT l_suppkey, array_to_string(list_sort(list(DISTINCT l_partkey)), ',') AS srcs FROM lineitem GROUP BY 1)
 SELECT l_suppkey, srcs, s_suppkey IS NULL AS is_new FROM r LEFT JOIN (SELECT * FROM supplier WHERE s_suppkey % 3 = 0) ON l_suppkey = s_suppkey
 """)
 def bidirectional_links(t, spark):

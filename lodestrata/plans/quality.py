@@ -119,10 +119,21 @@ def harvest_outcomes(t, spark):
     return quality.outcomes(p.select("p_partkey"), "p_partkey", p.where("p_partkey % 7 > 0"), F.col("p_size") <= 45, {"p_retailprice": quality.Rule("number", required=True, most=990)})
 
 
-@register("SELECT c_custkey, c_name AS name, 'x' AS city, CASE WHEN c_custkey % 2 = 0 THEN 'CHEBI:1' ELSE 'CHEBI:1,OK:3' END AS xrefs, 1::INT AS n_licensed, CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE 0 END::INT AS n_vendor FROM customer")
+@register("""
+WITH x AS (SELECT c_custkey, c_name, c_acctbal, c_mktsegment, [c_mktsegment, CASE WHEN c_custkey % 2 = 0 THEN 'SECRET:' || c_custkey ELSE 'OK:3' END, 'SECRET:9'] AS refs FROM customer)
+SELECT c_custkey, c_name AS name, array_to_string(list_filter(refs, lambda r: NOT starts_with(r, 'SECRET:')), ',') AS refs, CASE WHEN c_custkey % 5 > 0 THEN 'withheld_by_rights_policy' END AS mark, c_mktsegment AS inner_name, c_custkey % 3 = 0 AS shown, CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment END AS term,
+  (CASE WHEN c_custkey % 5 > 0 THEN 1 ELSE 0 END + 2 + CASE WHEN c_custkey % 4 > 0 THEN 1 ELSE 0 END)::INT AS n_licensed, (1 + CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE 0 END)::INT AS n_vendor, CASE WHEN c_custkey % 3 = 0 THEN 0 ELSE 1 END::INT AS n_terms FROM x
+""")
 def rights_filter(t, spark):
-    """Fields and list items withheld at any depth, and counted by family."""
-    inner = F.struct(F.lit("x").alias("city"), F.struct(F.col("c_acctbal").alias("balance")).alias("money"))
-    c = t("customer").select("c_custkey", F.col("c_name").alias("name"), inner.alias("address"), F.array(F.lit("CHEBI:1"), F.when(F.col("c_custkey") % 2 == 0, "SECRET:2").otherwise("OK:3")).alias("xrefs"))
-    got = rights.apply(c, {"balance": "licensed"}, {"^SECRET:": "vendor"})
-    return got.select("c_custkey", "name", F.col("address.city").alias("city"), F.array_join("xrefs", ",").alias("xrefs"), F.col("withheld")["licensed"].alias("n_licensed"), F.col("withheld")["vendor"].alias("n_vendor"))
+    """Fields, map keys, list items and a restricted source's details withheld in structs, maps and nested arrays, marked, and counted by family."""
+    k, secret = F.col("c_custkey"), F.col("c_acctbal")
+    balance = F.when(k % 5 > 0, secret).alias("balance")
+    inner = F.struct(F.col("c_mktsegment").alias("name"), secret.alias("balance"))
+    c = t("customer").select(
+        "c_custkey", F.col("c_name").alias("name"), F.struct(balance, F.lit("x").alias("city")).alias("money"), F.create_map(F.lit("a"), inner).alias("by_kind"), F.array(F.array(inner)).alias("nested"),
+        F.when(k % 4 > 0, F.create_map(F.lit("balance"), secret.cast("string"))).otherwise(F.create_map(F.lit("other"), F.lit("y"))).alias("notes"), F.array(F.col("c_mktsegment"), F.when(k % 2 == 0, F.concat(F.lit("SECRET:"), k.cast("string"))).otherwise("OK:3"), F.lit("SECRET:9")).alias("refs"),
+        F.struct(F.struct(F.when(k % 3 == 0, "open").otherwise("closed_source").alias("primary_source")).alias("provenance"), F.struct(F.col("c_mktsegment").alias("reason_text")).alias("failure"), k.alias("n")).alias("signal"),
+    )
+    got = rights.apply(c, {"balance": "licensed"}, {"^SECRET:": "vendor"}, rights.Signal("terms", "^closed::", "closed_source", detail_path=("detail", "none"), paths=(("failure", "reason_text"),)), markers=True)
+    w = F.col("withheld")
+    return got.select("c_custkey", "name", F.array_join("refs", ",").alias("refs"), F.col("money.balance_visibility").alias("mark"), F.col("by_kind")["a"]["name"].alias("inner_name"), F.col("signal.failure.reason_text").isNotNull().alias("shown"), F.col("signal.failure.reason_text").alias("term"), w["licensed"].alias("n_licensed"), w["vendor"].alias("n_vendor"), w["terms"].alias("n_terms"))

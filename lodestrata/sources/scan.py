@@ -109,6 +109,40 @@ def snapshot(spark: SparkSession, root: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{pointer(text)['prefix']}{table}")
 
 
+class SourceLoadError(RuntimeError):
+    """A source that couldn't be read: which, for what, how it failed, and whether another try may help. Never read as "no data"."""
+
+    def __init__(self, source: str, target: str, failure_class: str, retryable: bool):
+        super().__init__(f"{source}: {failure_class} while reading {target}")
+        self.source, self.target, self.failure_class, self.retryable = source, target, failure_class, retryable
+
+
+def failure_class(message: Column, code: Column | None = None) -> Column:
+    """struct(failure_class, retryable) of an error's message; what fits nothing is taken to pass, never for missing evidence."""
+    m = F.lower(F.coalesce(message, F.lit("")))
+    out = lambda name, again: F.struct(F.lit(name).alias("failure_class"), F.lit(again).alias("retryable"))
+    packed = F.coalesce(code.rlike("^Z_"), F.lit(False)) if code is not None else F.lit(False)
+    return (
+        F.when(packed, out("parse_failed", False))
+        .when(m.rlike("timeout|timed out"), out("timeout", True))
+        .when(m.rlike(UNAVAILABLE), out("source_unavailable", True))
+        .when(m.rlike(UNREADABLE), out("parse_failed", False))
+        .otherwise(out("source_unavailable", True))
+    )
+
+
+# Words of messages that tell a failure's class.
+UNAVAILABLE = "short read|short range read|etag|not found|disappeared|missing"
+UNREADABLE = "decompress|gunzip|incorrect header check|unexpected end|invalid|json|parse|unexpected token"
+
+
+def load_error(spark: SparkSession, source: str, target: str, error: Exception) -> SourceLoadError:
+    """The typed error of a failed read."""
+    text = f"{type(error).__name__} {error}".replace("PATH_NOT_FOUND", "not found").replace("FileNotFound", "not found")
+    got = spark.range(1).select(failure_class(F.lit(text[:2000])).alias("f")).first()["f"]
+    return SourceLoadError(source, target, got["failure_class"], got["retryable"])
+
+
 def html_guard(body: str, kind: str = "") -> bool:
     """Whether an answer is a web page instead of data."""
     return "html" in kind.lower() or body.lstrip()[:15].lower().startswith(("<!doctype html", "<html"))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
+import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,16 +48,51 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
-def swap_pointer(spark: SparkSession, path: str, before: str | None, after: str) -> bool:
-    """Replace a pointer only if it still reads ``before``: written beside, then renamed. One writer at a time."""
+def _replace(spark: SparkSession, fresh: str, path: str) -> None:
+    """Rename over a file that may be there, in one step."""
+    jvm = spark.sparkContext._jvm
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    src, dst = _fs(spark, fresh)[1], _fs(spark, path)[1]
+    fs, _ = _fs(spark, path)
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(fs.makeQualified(src), fs.makeQualified(dst), how)
+
+
+def swap_pointer(spark: SparkSession, path: str, before: str | None, after: str, grace: float = 60.0) -> bool:
+    """Replace a pointer only if it still reads ``before``; of several writers one succeeds, and readers always find a pointer.
+
+    A writer first creates a claim named by the state that it replaces; creating
+    is refused where the file is, so a state is left by one writer only. A claim
+    older than ``grace`` seconds is one that a dead writer has left: the next one
+    carries it out, and then fails. Needs a file system whose create without overwrite and whose rename are atomic.
+    """
+
+    def claim_of(state: str | None) -> str:
+        return f"{path}.from-{hashlib.sha256((state or '').encode()).hexdigest()[:24]}"
+
+    def carry_out(claim: str, state: str) -> None:
+        _fs(spark, path)[0].delete(_fs(spark, claim_of(state))[1], False)  # of an earlier time that the pointer read so
+        fresh = f"{path}.{uuid.uuid4().hex}"
+        put_once(spark, fresh, state)
+        _replace(spark, fresh, path)
+        _fs(spark, path)[0].delete(_fs(spark, claim)[1], False)
+
     if read_text(spark, path) != before:
         return False
-    fs, p = _fs(spark, path)
-    fresh = f"{path}.next"
-    fs.delete(_fs(spark, fresh)[1], False)
-    put_once(spark, fresh, after)
-    fs.delete(p, False)
-    return fs.rename(_fs(spark, fresh)[1], p) and read_text(spark, path) == after
+    claim = claim_of(before)
+    try:
+        put_once(spark, claim, after)
+    except Exception:
+        fs, p = _fs(spark, claim)
+        if fs.exists(p) and time.time() - fs.getFileStatus(p).getModificationTime() / 1000 > grace and (other := read_text(spark, claim)) and read_text(spark, path) == before:
+            carry_out(claim, other)
+        return False
+    if read_text(spark, path) != before:
+        _fs(spark, path)[0].delete(_fs(spark, claim)[1], False)
+        return False
+    carry_out(claim, after)
+    return True
 
 
 def snapshot(tables: dict[str, DataFrame], root: str, required: list[str]) -> list[dict]:

@@ -1,6 +1,7 @@
 import pytest
 
 from lodestrata import api
+from lodestrata.sources import scan
 
 
 @pytest.fixture(scope="module")
@@ -75,8 +76,11 @@ def test_tools(engine):
 
 
 def test_a_missing_table_is_no_empty_table(spark, tmp_path):
-    with pytest.raises(Exception):
-        api.Engine(spark, f"file://{tmp_path}").trials("c1").collect()
+    with pytest.raises(scan.SourceLoadError) as e:
+        api.Engine(spark, f"file://{tmp_path}")
+    assert e.value.failure_class == "source_unavailable" and e.value.retryable
+    with pytest.raises(scan.SourceLoadError):
+        api.Engine(spark, f"file://{tmp_path}", direct=True).trials("c1").collect()
 
 
 def test_a_second_publication_moves_the_pointer(spark, tmp_path):

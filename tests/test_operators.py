@@ -201,6 +201,24 @@ def test_asserts():
             f(*args)
 
 
+def test_fold_deltas_keeps_base_rows_without_a_key(spark):
+    base = spark.createDataFrame([(None, "x", ["a"]), (None, "y", ["a"]), (1, "z", ["a"])], "k int, v string, src array<string>")
+    deltas = spark.createDataFrame([(None, "w", ["b"], 1), (1, None, ["b", "a"], 2), (1, "q", ["c"], 1)], "k int, v string, src array<string>, r int")
+    got = merge.fold_deltas(base, deltas, "k", "r", ("src",)).collect()
+    assert sorted((r["k"] or 0, r["v"], r["src"]) for r in got) == [(0, "x", ["a"]), (0, "y", ["a"]), (1, "q", ["a", "c", "b"])]
+
+
+def test_rights_reach_maps_and_nested_arrays(spark):
+    df = spark.createDataFrame([(1,)], "i int").selectExpr("map('m', named_struct('secret', 1, 'ok', 2)) AS m", "array(array(named_struct('secret', 1, 'ok', 2)), null) AS n", "map('secret', 'x', 'open', 'y') AS k", "named_struct('id', 's::1', 'url', 'u', 'severity', 'minor', 'detail', named_struct('term', 't', 'n', 5)) AS s")
+    got = rights.apply(df, {"secret": "f"}, None, rights.Signal("g", "^s::", "nobody"), markers=True)
+    r = got.first()
+    assert r["m"]["m"].asDict() == {"secret_visibility": rights.WITHHELD, "ok": 2} and r["n"][0][0]["ok"] == 2 and r["n"][1] is None and r["k"] == {"open": "y"}
+    assert r["s"]["id"] is None and r["s"]["url"] is None and r["s"]["detail"]["term"] is None and r["s"]["detail"]["n"] == 5 and r["s"]["severity"] == "minor"
+    assert r["withheld"] == {"f": 3, "g": 1}
+    again = rights.apply(got.drop("withheld"), {"secret": "f"}, None, rights.Signal("g", "^s::", "nobody"), markers=True).first()
+    assert again["withheld"] == {"f": 0, "g": 0}
+
+
 def test_rights_are_idempotent(spark):
     df = spark.sql("select 1 id, named_struct('secret', 'x', 'open', array(named_struct('secret', 2, 'v', 3), named_struct('secret', null, 'v', 4))) a, array('OK:1', 'BAD:2', null) l")
     once = rights.apply(df, {"secret": "f1"}, {"^BAD:": "f2"})

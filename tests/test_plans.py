@@ -26,19 +26,22 @@ def test_jaccard_link_reads_whole_texts(spark, tmp_path):
 def test_lineitem_queries_take_every_line(spark, tmp_path):
     rng = random.Random(2)
     orders = [(o, o % 7) for o in range(40)]
-    lines = [(rng.randrange(40), rng.randrange(30), rng.randrange(12), float(rng.randint(1, 50)), rng.choice("ANR")) for _ in range(200)]
+    lines = [(rng.randrange(40), rng.randrange(30), rng.randrange(12), float(rng.randint(1, 50)), rng.choice("ANR"), rng.choice("FO")) for _ in range(200)]
     suppliers = [(k, 500.0 + 100 * k) for k in range(14)]
     put = lambda rows, schema, name: spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
     put(orders, "o_orderkey long, o_custkey long", "orders")
-    put(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_quantity double, l_returnflag string", "lineitem")
+    put(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_quantity double, l_returnflag string, l_linestatus string", "lineitem")
     put(suppliers, "s_suppkey long, s_acctbal double", "supplier")
     put([(c,) for c in range(9)], "c_custkey long", "customer")
     run = lambda of, name: {r[0]: tuple(r)[1:] for r in of.QUERIES[name](spark, str(tmp_path)).collect()}
     said = lambda xs: ",".join(map(str, xs))
     parts, flags, bought, buyers = (defaultdict(set) for _ in range(4))
     n = defaultdict(int)
-    for o, p, s, _, f in lines:
+    states, least = defaultdict(set), defaultdict(lambda: 99.0)
+    for o, p, s, q, f, state in lines:
         parts[s].add(p)
+        states[p].add(state)
+        least[p] = min(least[p], q)
         flags[p].add(f)
         bought[o % 7].add(s)
         buyers[s].add(o % 7)
@@ -54,7 +57,22 @@ def test_lineitem_queries_take_every_line(spark, tmp_path):
     assert {s: (set(map(int, r[0].split(","))), r[1], r[2]) for s, r in got.items()} == {s: (parts[s], len(b), min(b)) for s, b in buyers.items()}
 
     worth = {"A": 10, "N": 10, "R": 5}
-    def score(f):
+    def score(p):
+        f, fits, clash = flags[p], len(states[p]) > 1, least[p] <= 2
         bonus = sum(map(worth.get, f))
-        return 40 + min(20, bonus) if len(f) == 1 else min(100, 80 + (len(f) - 2) * 3 + min(15, int(bonus / 2 + 0.5)))
-    assert run(evidence, "source_scores") == {p: (len(f), score(f)) for p, f in flags.items()}
+        if len(f) == 1:
+            return max(0, min(60, 40 + min(20, bonus) - 15 * clash))
+        return max(0, min(100, 80 + (len(f) - 2) * 3 + 5 * fits + min(15, int(bonus / 2 + 0.5)) - 30 * clash))
+
+    assert run(evidence, "source_scores") == {p: (len(f), score(p)) for p, f in flags.items()}
+
+
+def test_queries_that_write_and_read_match_brute_force(spark):
+    """The records and storage queries have SQL; here a few of them run where the session names a shared folder."""
+    from lodestrata.plans import records, storage
+
+    sf = "/root/testdata/sf0.001"
+    assert storage.QUERIES["pointer_swaps"](spark, sf).count() == 4
+    got = {r["k"]: r["n"] for r in storage.QUERIES["lenient_scan"](spark, sf).collect()}
+    assert got and all(k % 7 and k % 11 for k in got)
+    assert records.QUERIES["load_failures"](spark, sf).where("failure_class = 'timeout' and not retryable").count() == 0

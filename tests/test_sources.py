@@ -1,8 +1,10 @@
 import gzip
+import hashlib
 import io
 import json
 import random
 import zipfile
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -141,6 +143,15 @@ def test_sinks(spark, tmp_path):
         sink.put_once(spark, f"{root}/p.json", "two")
     assert not sink.swap_pointer(spark, f"{root}/p.json", "zero", "two") and sink.read_text(spark, f"{root}/p.json") == "one"
     assert sink.swap_pointer(spark, f"{root}/p.json", "one", "two") and sink.read_text(spark, f"{root}/p.json") == "two"
+    # A claim that a dead writer has left is carried out, and whoever finds it fails; the pointer may come back to an earlier state.
+    claim = f"{root}/p.json.from-" + hashlib.sha256(b"two").hexdigest()[:24]
+    sink.put_once(spark, claim, "three")
+    assert not sink.swap_pointer(spark, f"{root}/p.json", "two", "four") and sink.read_text(spark, f"{root}/p.json") == "two"
+    assert not sink.swap_pointer(spark, f"{root}/p.json", "two", "four", grace=-1) and sink.read_text(spark, f"{root}/p.json") == "three"
+    assert sink.swap_pointer(spark, f"{root}/p.json", "three", "two") and sink.swap_pointer(spark, f"{root}/p.json", "two", "five") and sink.read_text(spark, f"{root}/p.json") == "five"
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda i: sink.swap_pointer(spark, f"{root}/p.json", "five", f"w{i}"), range(8)))
+    assert sum(won) == 1 and sink.read_text(spark, f"{root}/p.json").startswith("w")
     df = spark.range(100).select("id")
     assert [(m["table"], m["records"]) for m in sink.snapshot({"t": df}, f"{root}/snap", ["t"])] == [("t", 100)]
     with pytest.raises(ValueError):
