@@ -7,6 +7,8 @@ rows are needed together (``salted_join``).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -189,10 +191,21 @@ def bidirectional(refs: DataFrame, src: str, dst: str, known: DataFrame, known_k
 
 
 def consensus(a: DataFrame, b: DataFrame, keys: list[str], aid: str, avalue: str, bvalue: str) -> DataFrame:
-    """(aid, n_matches, best_ratio): every a row against the b rows of equal keys; the ratio nearest to 1 of positive values."""
-    ratio = F.when((F.col("_v") > 0) & (F.col(avalue) > 0), F.greatest(avalue, "_v") / F.least(avalue, "_v"))
-    j = a.join(b.select(*keys, F.col(bvalue).alias("_v")).withColumn("_hit", F.lit(1)), keys, "left")
-    return j.groupBy(aid).agg(F.count("_hit").alias("n_matches"), F.min(ratio).alias("best_ratio"))
+    """(aid, n_matches, best_ratio): every a row against the b rows of equal keys; the ratio nearest to 1 of positive values.
+
+    The nearest value on either side decides, so both tables are sorted by value
+    within a key once; no row is made for each pair.
+    """
+    known = b.where(reduce(Column.__and__, [F.col(k).isNotNull() for k in keys]))
+    counts = known.groupBy(*keys).agg(F.count("*").alias("_n"))
+    both = a.select(*keys, F.col(aid).alias("_a"), F.col(avalue).alias("_v"), F.lit(1).alias("_s")).unionByName(known.select(*keys, F.lit(None).cast(a.schema[aid].dataType).alias("_a"), F.col(bvalue).alias("_v"), F.lit(0).alias("_s")))
+    w = Window.partitionBy(*keys).orderBy("_v", "_s")
+    other = F.when((F.col("_s") == 0) & (F.col("_v") > 0), F.col("_v"))
+    below = F.last(other, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    above = F.first(other, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
+    got = both.withColumn("_lo", below).withColumn("_hi", above).where("_s = 1").join(counts, keys, "left")
+    ratio = F.when((F.col("_v") > 0) & F.col("_n").isNotNull(), F.least(F.col("_v") / F.col("_lo"), F.col("_hi") / F.col("_v")))
+    return got.groupBy(F.col("_a").alias(aid)).agg(F.sum(F.coalesce("_n", F.lit(0))).alias("n_matches"), F.min(ratio).alias("best_ratio"))
 
 
 def fallback_lookup(df: DataFrame, table: DataFrame, keys: list[tuple[str, str]], value: str, into: str) -> DataFrame:
@@ -228,10 +241,20 @@ def triples(edges: DataFrame, subject: str, subjects: DataFrame, target: str, ta
 
 
 def range_lookup(points: DataFrame, value: str, ranges: DataFrame, lo: str, hi: str, width: int) -> DataFrame:
-    """Each point with the ranges that hold it. Ranges are dealt to cells of ``width``, so the join is by equality."""
-    cells = ranges.withColumn("_cell", F.explode(F.sequence(F.floor(F.col(lo) / width), F.floor(F.col(hi) / width))))
-    own = points.withColumn("_cell", F.floor(F.col(value) / width))
-    return own.join(cells, "_cell").where(F.col(value).between(F.col(lo), F.col(hi))).drop("_cell")
+    """Each point with the ranges that hold it, by equality on cells.
+
+    A range is dealt to cells of the level at which it is at most one cell long
+    (``width`` times a power of two), so it stands in two cells at most; a point
+    stands in one cell of each level that there is.
+    """
+    span = F.greatest(F.lit(1.0), (F.col(hi) - F.col(lo)) / width)
+    level = F.ceil(F.log2(span)).cast("int")
+    size = F.lit(width) * F.pow(F.lit(2.0), F.col("_level"))
+    dealt = ranges.withColumn("_level", level)
+    cells = dealt.withColumn("_cell", F.explode(F.sequence(F.floor(F.col(lo) / size), F.floor(F.col(hi) / size))))
+    levels = [r[0] for r in dealt.where("_level is not null").select("_level").distinct().collect()]  # some sixty at most
+    own = points.withColumn("_level", F.explode(F.array(*[F.lit(x) for x in sorted(levels)]).cast("array<int>"))).withColumn("_cell", F.floor(F.col(value) / size))
+    return own.join(cells, ["_level", "_cell"]).where(F.col(value).between(F.col(lo), F.col(hi))).drop("_level", "_cell")
 
 
 def chain_resolve(df: DataFrame, key: str, steps: list[tuple[str, DataFrame]]) -> DataFrame:
