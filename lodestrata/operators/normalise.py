@@ -111,17 +111,11 @@ def eu_trials(df: DataFrame, at: Column, space: str = SPACE) -> DataFrame:
     )
 
 
-def abstract(inverted: Column) -> Column:
-    """A text from its inverted index, map<word, positions>."""
-    places = F.flatten(F.transform(F.map_entries(inverted), lambda e: F.transform(e["value"], lambda p: F.struct(p.alias("p"), e["key"].alias("w")))))
-    return F.trim(F.array_join(F.transform(F.array_sort(places), lambda x: x["w"]), " "))
-
-
 def papers(df: DataFrame, at: Column, space: str = SPACE) -> DataFrame:
     """Works with a title; ids normalised, the abstract put together, at most 2,000 and 20,000 characters of either."""
     work, doi = text.work_id(_col(df, "id", "string")), text.doi(_col(df, "doi", "string"))
     title = F.coalesce(_col(df, "title", "string"), _col(df, "display_name", "string"), F.lit(""))
-    body = F.substring(abstract(F.col("abstract_inverted_index")), 1, 20000) if "abstract_inverted_index" in df.columns else F.lit(None).cast("string")
+    body = F.substring(text.abstract(F.col("abstract_inverted_index")), 1, 20000) if "abstract_inverted_index" in df.columns else F.lit(None).cast("string")
     gone = F.coalesce(_col(df, "is_retracted", "boolean"), F.lit(False))
     key = F.coalesce(work, F.concat(F.lit("doi-"), F.regexp_replace(doi, "[^a-zA-Z0-9.]", "_")))
     return df.where((F.length(_col(df, "id", "string")) > 0) & (title != "") & key.isNotNull()).select(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..functions.numeric import lipinski
-from ..operators import aggregate, paging
+from ..operators import acceptance, aggregate, paging
 from .common import Registry
 
 register = Registry()
@@ -251,3 +251,38 @@ def acceptance_findings(t, spark):
     flag = F.when(F.col("l_quantity") > 40, True).when(F.col("l_quantity") < 20, False)
     got = aggregate.findings(t("lineitem"), "l_partkey", flag, "l_suppkey", F.col("l_tax") == 0, F.col("l_linestatus") == "F")
     return got.select("l_partkey", "n", "n_true", "n_false", "n_null", "targets", "gaps")
+
+
+@register("""
+WITH c AS (SELECT p_partkey AS id, p_size AS z, p_partkey AS k FROM part),
+p AS (SELECT ps AS id, count(*) AS n, count(*) FILTER (WHERE c_acctbal > 5000) AS cited, count(*) FILTER (WHERE c_custkey % 5 = 0) AS meshed, count(*) FILTER (WHERE c_nationkey > 12) AS recent, count(*) FILTER (WHERE c_custkey % 4 = 0) AS open, count(*) FILTER (WHERE c_custkey % 2 = 0) AS doi, count(*) FILTER (WHERE c_nationkey = 3) AS gone, count(*) FILTER (WHERE c_nationkey = 3 AND c_custkey % 2 = 0) AS proved, count(*) FILTER (WHERE c_custkey % 3 = 0) AS linked FROM (SELECT *, c_custkey % 700 AS ps FROM customer) GROUP BY 1),
+a AS (SELECT l_partkey AS id, count(*) AS n, count(DISTINCT CASE WHEN l_quantity > 3 THEN l_suppkey END) AS targets, count(*) FILTER (WHERE l_returnflag = 'A' AND l_quantity > 10) AS ic50, count(*) FILTER (WHERE l_linestatus = 'F') AS unitless FROM lineitem GROUP BY 1),
+t AS (SELECT o_orderkey % 1500 AS id, count(*) AS n, count(*) FILTER (WHERE o_orderstatus <> 'P') AS drug, count(*) FILTER (WHERE o_orderstatus <> 'P' AND o_custkey % 2 = 0) AS phased, sum((o_custkey % 7 = 0)::INT) AS conditions FROM orders GROUP BY 1),
+n AS (SELECT user_id AS id, count(*) AS n, count(*) FILTER (WHERE value > 100) AS reasons, count(*) FILTER (WHERE value > 200) AS classified FROM events WHERE event_type = 'error' GROUP BY 1),
+f AS (SELECT c.id, z, k, coalesce(p.n, 0) AS papers, coalesce(cited, 0) AS cited, coalesce(meshed, 0) AS meshed, coalesce(recent, 0) AS recent, coalesce(open, 0) AS open, coalesce(doi, 0) AS doi, coalesce(gone, 0) AS gone, coalesce(proved, 0) AS proved, coalesce(linked, 0) AS linked, coalesce(a.n, 0) AS acts, coalesce(targets, 0) AS targets, coalesce(ic50, 0) AS ic50, coalesce(unitless, 0) AS unitless, coalesce(t.n, 0) AS trials, coalesce(drug, 0) AS drug, coalesce(phased, 0) AS phased, coalesce(conditions, 0) AS conditions, coalesce(n.n, 0) AS negs, coalesce(reasons, 0) AS reasons, coalesce(classified, 0) AS classified
+  FROM c LEFT JOIN p ON p.id = c.id LEFT JOIN a ON a.id = c.id LEFT JOIN t ON t.id = c.id LEFT JOIN n ON n.id = c.id),
+g AS (SELECT id, list_filter([CASE WHEN z % 9 = 0 THEN 'structural_data' END, CASE WHEN z % 8 = 0 THEN 'lipinski_violations' END, CASE WHEN z % 5 = 0 THEN 'synonyms' END, CASE WHEN z % 2 * 45 + 10 < 50 THEN 'confidence_score' END, CASE WHEN z % 6 = 0 THEN 'max_phase' END, CASE WHEN z % 6 = 4 AND k % 2 = 0 THEN 'first_approval_year' END,
+  CASE WHEN acts = 0 THEN 'active_count' END, CASE WHEN acts > 0 AND targets = 0 THEN 'target_diversity' END, CASE WHEN acts > 0 AND ic50 = 0 THEN 'ic50_values' END, CASE WHEN acts > 0 AND unitless / acts > 0.3::DOUBLE THEN 'units_standardized' END, CASE WHEN trials = 0 THEN 'trial_count' END, CASE WHEN drug > 0 AND phased / drug < 0.5::DOUBLE THEN 'phase_distribution' END, CASE WHEN trials > 0 AND conditions = 0 THEN 'conditions_covered' END,
+  CASE WHEN negs = 0 THEN 'negative_outcomes' END, CASE WHEN negs > 0 AND reasons = 0 THEN 'why_stopped_text' END, CASE WHEN negs > 0 AND classified = 0 THEN 'failure_classification' END, CASE WHEN papers = 0 THEN 'paper_count' END, CASE WHEN papers > 0 AND cited / papers < 0.3::DOUBLE THEN 'citation_counts' END, CASE WHEN papers > 0 AND meshed / papers < 0.3::DOUBLE THEN 'mesh_terms' END, CASE WHEN papers > 0 AND recent = 0 THEN 'recent_papers' END, CASE WHEN papers > 0 AND open / papers < 0.2::DOUBLE THEN 'open_access_flag' END,
+  CASE WHEN proved < gone THEN 'retraction_doi_proof' END, CASE WHEN z % 3 < 2 THEN 'source_count' END, CASE WHEN papers > 0 AND linked = 0 THEN 'paper_to_trial_links' END, CASE WHEN papers > 0 AND doi / papers < 0.5::DOUBLE THEN 'doi_traceability' END, CASE WHEN z % 3 = 0 THEN 'source_list_per_field' END, CASE WHEN z % 3 > 0 AND k % 4 = 0 THEN 'timestamp_per_extraction' END], lambda x: x IS NOT NULL) AS gaps FROM f)
+SELECT id, array_to_string(gaps, ',') AS gaps, (SELECT count(*) FROM (SELECT unnest([['structural_data', 'lipinski_violations', 'synonyms', 'molecular_weight', 'confidence_score'], ['max_phase', 'first_approval_year', 'withdrawn_status'], ['active_count', 'target_diversity', 'ic50_values', 'units_standardized'], ['trial_count', 'phase_distribution', 'conditions_covered'], ['negative_outcomes', 'why_stopped_text', 'failure_classification'],
+  ['paper_count', 'citation_counts', 'mesh_terms', 'recent_papers', 'open_access_flag'], ['retraction_doi_proof', 'retraction_source_provenance'], ['confidence_score', 'per_dimension_confidence', 'source_count', 'structural_match_flag'], ['paper_to_trial_links', 'doi_traceability'], ['source_list_per_field', 'timestamp_per_extraction', 'extraction_method_visible']]) AS q) WHERE NOT list_has_any(gaps, q))::INT AS answered FROM g
+""")
+def acceptance_scenarios(t, spark):
+    """The named checks that each compound fails, and the questions that it answers."""
+    k, z = F.col("p_partkey"), F.col("p_size")
+    null = F.lit(None)
+    c = t("part").select(
+        k.alias("id"), F.when(z % 9 > 0, "C").alias("smiles"), F.lit("I").alias("inchi"), F.lit("F").alias("formula"), F.when(z % 8 > 0, 1).alias("violations"), (z % 5).alias("synonyms"), F.lit(1.0).alias("weight"), (z % 2 * 45 + 10).alias("overall"), F.when(z % 6 > 0, z % 6).alias("max_phase"),
+        F.when(k % 2 == 1, 1999).alias("first_approval"), F.lit(False).alias("withdrawn"), F.lit(1).alias("structural"), F.lit(1).alias("bioactivity"), F.lit(True).alias("structural_match"), (z % 3).alias("sources"), F.when(k % 4 > 0, z % 3).otherwise(0).alias("timestamps"), (z % 3).alias("methods"),
+    )
+    u = F.col("c_custkey")
+    papers = t("customer").select(
+        (u % 700).alias("compound_id"), F.when(F.col("c_acctbal") > 5000, 1).otherwise(0).alias("citation_count"), F.when(u % 5 == 0, 1).otherwise(0).alias("mesh"), F.when(F.col("c_nationkey") > 12, 2021).otherwise(2001).alias("year"), (u % 4 == 0).alias("open_access"), F.when(u % 2 == 0, "10.1/x").alias("doi"),
+        (F.col("c_nationkey") == 3).alias("retracted"), F.when(u % 2 == 0, "10.1/r").alias("retraction_doi"), F.lit("x").alias("retraction_source"), F.when(u % 3 == 0, 1).otherwise(0).alias("trial_mentions"),
+    )
+    q = F.col("l_quantity")
+    acts = t("lineitem").select(F.col("l_partkey").alias("compound_id"), F.when(q > 3, F.col("l_suppkey")).alias("target_id"), F.when(F.col("l_returnflag") == "A", "IC50").otherwise("Ki").alias("kind"), (q - 10).alias("value"), F.when(F.col("l_linestatus") == "F", "unitless").otherwise("nM").alias("unit"))
+    trials = t("orders").select((F.col("o_orderkey") % 1500).alias("compound_id"), (F.col("o_orderstatus") != "P").alias("drug"), F.when(F.col("o_custkey") % 2 == 0, 1).alias("phase"), (F.col("o_custkey") % 7 == 0).cast("int").alias("conditions"))
+    negs = t("events").where("event_type = 'error'").select(F.col("user_id").alias("compound_id"), F.when(F.col("value") > 100, "r").otherwise("").alias("reason"), F.when(F.col("value") > 200, "SAFETY").alias("category"))
+    return acceptance.gaps(acceptance.facts(c, papers, acts, trials, negs)).select("id", F.array_join("gaps", ",").alias("gaps"), F.col("answered").cast("int").alias("answered"))

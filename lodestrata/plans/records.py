@@ -324,3 +324,98 @@ def enrichment_queue(t, spark):
     due = state.to_enrich(p, "version", 2, "attempts")
     got = state.without_misses(due, t("lineitem").where("l_quantity > 49").select(F.col("l_partkey").alias("p_partkey")), "p_partkey")
     return got.select("p_partkey", F.sha2(F.concat(F.lit("x:"), "p_name"), 256).alias("h"))
+
+
+@register("""
+SELECT c_custkey, CASE WHEN c_acctbal > 9000 AND c_custkey % 2 = 0 THEN 'dose,count' WHEN c_acctbal > 9000 THEN 'dose' WHEN c_custkey % 2 = 0 THEN 'count' ELSE '' END AS conflicts, CASE WHEN c_nationkey::VARCHAR <> '' AND c_custkey::VARCHAR <> '' AND c_custkey % 3 > 0 THEN c_custkey || '::' || c_nationkey END AS link,
+  CASE WHEN c_custkey % 10 < 3 THEN 'hardfail' WHEN c_custkey % 10 < 6 THEN 'warn' ELSE 'info' END AS tier, xor(xor(c_custkey, c_custkey * 3), c_nationkey)::BIGINT AS checksum FROM customer
+""")
+def record_checks(t, spark):
+    """Named conflicts, tiers by percentage, link keys and checksums of offsets."""
+    from ..operators import merge, quality
+
+    k = F.col("c_custkey")
+    return t("customer").select(
+        k, F.array_join(rules.conflicts([("dose", F.col("c_acctbal") > 9000), ("count", k % 2 == 0)]), ",").alias("conflicts"), merge.link_key(F.when(k % 3 > 0, k), F.col("c_nationkey")).alias("link"),
+        quality.severity_tier((k % 10 * 10).cast("double"), 30.0, 60.0).alias("tier"), ident.xor_checksum(F.array(k, k * 3, F.col("c_nationkey").cast("long"))).alias("checksum"),
+    )
+
+
+@register("""
+WITH x AS (SELECT p_partkey % 900 AS k, 'old' AS src FROM part WHERE p_partkey % 2 = 0 AND p_partkey < 900), n AS (SELECT p_partkey % 900 AS k FROM part WHERE p_partkey < 900) SELECT sha256('s' || k) AS sid_s, 'old' AS src FROM x UNION ALL SELECT sha256('s' || k), 'new' FROM n WHERE k NOT IN (SELECT k FROM x)
+""")
+def crosswalk_append(t, spark):
+    """A crosswalk with entries whose id it doesn't have; what it has stays as it is."""
+    from ..operators import stamp
+
+    k = t("part").where("p_partkey < 900").select(F.sha2(F.concat(F.lit("s"), _text("p_partkey")), 256).alias("sid_s"), "p_partkey")
+    old = k.where("p_partkey % 2 = 0").select("sid_s", F.lit("old").alias("src"))
+    return stamp.append(old, k.select("sid_s", F.lit("new").alias("src")))
+
+
+@register("""
+WITH r AS (SELECT CASE WHEN event_id % 40 > 0 THEN user_id END AS k, event_type, event_id, strftime(ts, '%Y-%m-%d') AS run FROM events), w AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY run DESC) AS n FROM (SELECT k, run, max(event_id) AS last FROM r WHERE k IS NOT NULL GROUP BY 1, 2))
+SELECT k, run, last FROM w WHERE n = 1 UNION ALL SELECT NULL, run, event_id FROM r WHERE k IS NULL
+""")
+def latest_runs(t, spark):
+    """Of many runs the latest one's row for each key; rows without a key all stay."""
+    from ..operators import merge
+
+    e = t("events").select(F.when(F.col("event_id") % 40 > 0, F.col("user_id")).alias("k"), F.date_format("ts", "yyyy-MM-dd").alias("run"), F.col("event_id").alias("last"))
+    keyed = e.where("k is not null").groupBy("k", "run").agg(F.max("last").alias("last"))
+    return merge.runs(keyed.unionByName(e.where("k is null")), "k", "run")
+
+
+@register("""
+SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'unichem' ELSE 'x' END AS source, CASE WHEN c_custkey % 3 = 0 AND c_custkey % 2 = 0 THEN true END AS matched FROM customer
+""")
+def bootstrap_flags(t, spark):
+    """A flag set where a source list and an identifier say so."""
+    from ..operators import merge
+
+    k = F.col("c_custkey")
+    ids = F.struct(F.array(F.when(k % 3 == 0, "unichem").otherwise("x")).alias("sources"), F.when(k % 2 == 0, "U").alias("unii"), F.lit(None).cast("boolean").alias("unichem_matched"))
+    c = t("customer").select(k, ids.alias("ids"))
+    got = c.select(k, merge.bootstrap_flag(F.col("ids"), c.schema["ids"].dataType).alias("ids"))
+    return got.select(k, F.col("ids.sources")[0].alias("source"), F.col("ids.unichem_matched").alias("matched"))
+
+
+@register("""
+SELECT unnest(['snomed', 'mesh']) AS vocabulary, unnest(['sid_c,sid_s', 'code,preferred_str,sid_c,sid_s']) AS columns, (SELECT count(*) FROM nation) AS n
+""")
+def public_projections(t, spark):
+    """What public projections of vocabularies show."""
+    from ..operators import rights
+
+    n = t("nation").select(_text("n_nationkey").alias("sid_s"), _text("n_regionkey").alias("sid_c"), F.col("n_name").alias("code"), F.col("n_name").alias("preferred_str"), F.lit("private").alias("cui"))
+    out = None
+    for v in ("snomed", "mesh"):
+        got = rights.public(n, v)
+        one = got.agg(F.count("*").alias("n")).select(F.lit(v).alias("vocabulary"), F.lit(",".join(sorted(got.columns))).alias("columns"), "n")
+        out = one if out is None else out.union(one)
+    return out
+
+
+@register("""
+SELECT unnest(['anomaly', 'hold', 'advance', 'first', 'lost', 'same', 'merge', 'empty', 'page', 'last_page', 'token', 'incomplete', 'html', 'json', 'share', 'prune', 'breaker', 'bucket', 'drained', 'frozen', 'bisected']) AS what,
+  unnest(['anomaly_zero_fetch_hold:5', 'no_updates_hold:5', 'advance:7', 'first_run_skip', 'sentinel_present_pointer_missing', 'same_run_skip', 'merge', 'empty_buffer_abort', 'True', 'False', '9', '5', 'True', 'False', 'b,d', 's1', 'False,False,False,True', '0.0,0.5', '3:25:backlog_exhausted', 'True', 'a,c|b']) AS decision
+""")
+def run_decisions(t, spark):
+    """Decisions between runs, which are the driver's."""
+
+    def fetch(ids):
+        if "b" in ids and len(ids) > 1:
+            raise ValueError("refused")
+        return {i: {} for i in ids if i != "b"}
+
+    breaker, bucket = state.Breaker(2), state.TokenBucket(2.0)
+    d = state.drain(25, lambda n: 10.0, 10, 1000.0, 10.0)
+    found, none = scan.bisecting(["a", "b", "c"], fetch)
+    out = {
+        "anomaly": ":".join(state.cursor_decision(0, "5", "7")), "hold": ":".join(state.cursor_decision(3, "5", "7", False)), "advance": ":".join(state.cursor_decision(3, "5", "7")),
+        "first": state.merge_decision(None, "r", False, True), "lost": state.merge_decision(None, "r", True, True), "same": state.merge_decision({"run_id": "r"}, "r", True, True), "merge": state.merge_decision({"run_id": "q"}, "r", True, True), "empty": state.merge_decision({"run_id": "q"}, "r", True, False),
+        "page": str(scan.should_fetch_next(1, 10, 10, 25, 5)), "last_page": str(scan.should_fetch_next(3, 5, 10, 25, 5)), "token": scan.next_token("5", "9", True), "incomplete": scan.next_token("5", "9", False), "html": str(scan.html_guard("  <!DOCTYPE html><p>")), "json": str(scan.html_guard("{}")),
+        "share": ",".join(scan.worker_share(list("abcd"), 1, 2)), "prune": ",".join(state.prunable(["s1", "s2", "s3", "s4"], "s2", 2)), "breaker": ",".join(str(breaker.record(x)) for x in (False, True, False, False)), "bucket": ",".join(str(bucket.wait(0.0)) for _ in range(2)),
+        "drained": f"{d.chunks}:{d.processed}:{d.stop_reason}", "frozen": str(state.frozen("a", "a", 5, 0)), "bisected": ",".join(sorted(found)) + "|" + ",".join(sorted(none)),
+    }
+    return spark.createDataFrame(list(out.items()), "what string, decision string")
