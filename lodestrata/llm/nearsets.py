@@ -1,31 +1,41 @@
-"""Near copies by Jaccard similarity of word shingles: MinHash bands find candidates, the shingles themselves decide.
+"""Near copies by Jaccard similarity of word shingles: SimHash and MinHash find candidates, the shingles themselves decide.
 
 1. Each text is the set of 64-bit hashes of its word shingles; equal sets collapse first.
-2. ``BANDS`` bands of ``ROWS`` MinHash values each; sets that share a band are
-   candidates. At similarity s a pair shares none with a probability of
+2. SimHash classes of the vantage-point tree (``simhash``) give each text one
+   candidate, the first of its class. At a similarity of 0.8 fingerprints differ
+   in about 10 of 64 bits, too many for a tree to prune by, so
+3. ``BANDS`` bands of ``ROWS`` MinHash values each add the sets that share a
+   band. At similarity s a pair shares none with a probability of
    (1 - s**ROWS)**BANDS: 6e-5 at 0.8, less above.
-3. In each band's bucket every set is compared with the bucket's least and
-   greatest one, exactly, on the shingles. Once those links are merged, what is
-   left of a bucket are its pairs of sets in different classes; all are compared.
-   No candidate is dropped, and no bucket is capped: a pair is left out only
-   where both are in one class already.
+4. In each of ``ROUNDS`` rounds a set is compared, exactly, on the shingles, with
+   the set of another class that leads most of its bands' buckets. Once those links are merged, what is left are the
+   sets of buckets that hold several classes. Of them all pairs of different
+   classes that can be similar enough are compared: those that share one of their
+   rarest shingles, at a place that leaves enough to share after it. Nothing is
+   dropped and no bucket is capped.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import simhash
 from . import textvec as tv
 from .components import components
 from .scratch import Scratch
 
 BANDS, ROWS = 32, 6
+ROUNDS = 2
+#: Sets of a bucket whose pairs are one task's work.
+BLOCK = 256
 #: Shingles whose MinHash values are worked on at once.
 STEP = 2048
 
@@ -101,27 +111,58 @@ def _members(docs: DataFrame, words: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "s long, x array<long>")
 
 
+def _block(least: float):
+    """Links between sets of different classes of one pair of blocks: a forest with the components of all such pairs."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        n = pdf["x"].map(len).to_numpy()
+        _, at = np.unique(np.concatenate(pdf["x"].to_numpy()), return_inverse=True)
+        row = np.repeat(np.arange(len(pdf)), n)
+        both = np.zeros((len(pdf), len(pdf)), np.float32)
+        for first in range(0, int(at.max()) + 1, 4096):
+            on = (at >= first) & (at < first + 4096)
+            has = np.zeros((len(pdf), 4096), np.float32)
+            has[row[on], at[on] - first] = 1
+            both += has @ has.T
+        c = pdf["c"].to_numpy()
+        alike = (both / (n[:, None] + n[None] - both) >= least) & (c[:, None] != c[None])
+        s, out = pdf["s"].to_numpy(), [np.zeros((2, 0), np.int64)]
+        left = np.flatnonzero(alike.any(axis=1))
+        while len(left):
+            front, left = left[:1], left[1:]
+            while len(front) and len(left):
+                hit = alike[np.ix_(front, left)]
+                new = hit.any(axis=0)
+                out.append(np.stack([s[left[new]], s[front[hit[:, new].argmax(axis=0)]]]))
+                front, left = left[new], left[~new]
+        got = np.concatenate(out, axis=1)
+        return pd.DataFrame({"a": got[0], "b": got[1]})
+
+    return run
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id long, component_id long), one row for each row of ``docs``.
 
     Texts whose sets of ``words``-word shingles have a Jaccard similarity of
     ``least`` or more are linked; component_id is the least doc_id that links
-    reach. Null texts count as empty, and texts of no word as equal. A null
+    reach. Ids are cast to long, what can't be cast is null. Null texts count as empty, and texts of no word as equal. A null
     doc_id keeps its row and takes no part in minima. Repeated rows are kept;
     an empty table gives an empty one.
     """
     scratch = Scratch(docs.sparkSession, "nearsets")
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    docs = docs.select(F.col(id_col).try_cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     sketch = scratch.put(_sketches(docs, words), "sketches")
+    prints = scratch.put(simhash.near_duplicates(docs, words).where("doc_id <> component_id").select("doc_id", "component_id").distinct(), "prints")
     # Equal sets have equal keys.
     distinct = scratch.put(sketch.groupBy("s").agg(F.min("doc_id").alias("first_doc"), F.first("n").alias("n")), "distinct")
     one = sketch.join(distinct.withColumnRenamed("first_doc", "f").select("s", "f"), "s").where(F.col("doc_id").eqNullSafe(F.col("f"))).select("s", "n", "keys").dropDuplicates(["s"])
     table = scratch.put(one.select("s", "n", F.explode("keys").alias("h")), "bands")
-    sizes = scratch.put(table.groupBy("h").agg(F.min("s").alias("low"), F.max("s").alias("high")).where("low <> high"), "buckets")
-    table = scratch.put(table.join(sizes, "h"), "shared")
+    sizes = scratch.put(table.groupBy("h").agg(F.min("s").alias("low"), F.max("s").alias("high"), F.count("*").alias("k")).where("low <> high").select("h", "k"), "buckets")
+    table = scratch.put(table.join(sizes.select("h"), "h").distinct(), "shared")
 
     # The texts of whatever is in a bucket with another set, each set once.
-    wanted = table.select("s").distinct().join(distinct, "s").select("s", "first_doc")
+    wanted = table.select("s").union(sketch.join(prints.select("doc_id").union(prints.select("component_id")).distinct().hint("merge"), "doc_id").select("s")).distinct().join(distinct, "s").select("s", "first_doc")
     wanted = scratch.put(wanted, "wanted")
     texts = docs.join(wanted.select(F.col("first_doc").alias("f")).distinct().hint("merge"), F.col("doc_id").eqNullSafe(F.col("f")), "left_semi")
     sets = scratch.put(_members(texts, words).join(wanted.select("s"), "s", "left_semi").dropDuplicates(["s"]), "sets")
@@ -132,21 +173,66 @@ def near_duplicates(docs: DataFrame, words: int = 5, least: float = 0.8, id_col:
         common = F.size(F.array_intersect("l", "r"))
         return got.withColumn("k", common).where(F.col("k") / (F.size("l") + F.size("r") - F.col("k")) >= least).select("a", "b")
 
-    size = distinct.select("s", "n")
-    ends = table.select("s", "n", F.explode(F.array("low", "high")).alias("e")).where("s <> e").distinct()
-    ends = ends.join(size.select(F.col("s").alias("e"), F.col("n").alias("m")), "e").where(F.least("n", "m") / F.greatest("n", "m") >= least)
-    ends = scratch.put(ends.select(F.least("s", "e").alias("a"), F.greatest("s", "e").alias("b")).distinct(), "ends")
-    links = scratch.put(linked(ends), "links")
-    roots = scratch.put(components(links, scratch), "roots")
-
-    classed = scratch.put(table.select("h", "s", "n").join(roots.withColumnRenamed("node", "s"), "s", "left").select("h", "s", "n", F.coalesce("root", "s").alias("c")), "classed")
-    mixed = classed.groupBy("h").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("h")
-    open_ = scratch.put(classed.join(mixed, "h"), "open")
-    l, r = (open_.select("h", *[F.col(x).alias(y) for x, y in zip("snc", names, strict=True)]) for names in (("a", "n", "c"), ("b", "m", "d")))
-    rest = l.join(r, "h").where((F.col("a") < F.col("b")) & (F.col("c") != F.col("d")) & (F.least("n", "m") / F.greatest("n", "m") >= least))
-    rest = scratch.put(rest.select("a", "b").distinct().join(ends, ["a", "b"], "left_anti"), "rest")
-    links = scratch.put(links.union(linked(rest)), "links")
-    roots = scratch.put(components(links, scratch), "roots")
+    sizes_ok = lambda x, y: F.least(x, y) / F.greatest(x, y) >= least
+    links, tried, roots = [], [], None
+
+    def merge(pairs: DataFrame) -> bool:
+        """Compare the pairs (a, b) that haven't been compared yet."""
+        nonlocal roots
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        for x in tried:
+            pairs = pairs.join(x.hint("merge"), ["a", "b"], "left_anti")
+        tried.append(scratch.put(pairs, "tried"))
+        links.append(scratch.put(linked(tried[-1]), "links"))
+        if links[-1].isEmpty():
+            return False
+        roots = scratch.put(components(reduce(DataFrame.union, links), scratch), "roots")
+        return True
+
+    def classed() -> DataFrame:
+        """The rows of the buckets that hold several classes."""
+        rows = table if roots is None else table.join(roots.withColumnRenamed("node", "s").hint("merge"), "s", "left").withColumn("c", F.coalesce("root", "s")).drop("root")
+        rows = rows if roots is not None else rows.withColumn("c", F.col("s"))
+        main = rows.groupBy("h", "c").agg(F.count("*").alias("k")).groupBy("h").agg(F.max_by("c", F.struct("k", "c")).alias("main"), F.count("*").alias("k")).where("k > 1")
+        return scratch.put(rows.join(main.select("h", "main").hint("merge"), "h"), "classed")
+
+    # SimHash: each set with the one of its class's first document.
+    ids = sketch.where("doc_id is not null").select("doc_id", "s").distinct()
+    merge(prints.join(ids.hint("merge"), "doc_id").withColumnRenamed("s", "a").join(ids.select(F.col("doc_id").alias("component_id"), F.col("s").alias("b")).hint("merge"), "component_id").where("a <> b").select("a", "b"))
+    # A set in large buckets is near to what its group has in common: as a leader it links most. The second round's isn't of the main class.
+    hub = scratch.put(table.join(sizes.hint("merge"), "h").groupBy("s").agg(F.sum("k").alias("hub")), "hubs")
+    table = scratch.put(table.join(hub.hint("merge"), "s"), "led")
+    for turn in range(ROUNDS):
+        rows = classed()
+        by = F.struct("hub", "s")
+        lead = rows.groupBy("h").agg(F.max_by(F.struct("s", "n", "c"), F.when(F.col("c") != F.col("main") if turn % 2 else F.lit(True), by)).alias("l"))
+        tries = rows.join(lead.hint("merge"), "h").where((F.col("c") != F.col("l.c")) & sizes_ok(F.col("n"), F.col("l.n"))).groupBy("s", F.col("l.s").alias("lead")).agg(F.count("*").alias("k"))
+        if not merge(tries.groupBy("s").agg(F.max_by("lead", F.struct("k", "lead")).alias("lead")).select(F.col("s").alias("a"), F.col("lead").alias("b"))):
+            break
+    # What is left, exactly: two sets have to have ``common(n, m)`` shingles in common, so of the shingles of either in one
+    # order, the rarest first, they share one that as many follow in both. Sets without such a partner are done.
+    common = lambda n, m: F.ceil((n + m) * (least / (1 + least)) - 1e-9)
+    open_ = scratch.put(classed().select("s", "n", "c").distinct().join(sets.hint("merge"), "s"), "open")
+    each = open_.select("s", F.explode("x").alias("w"))
+    known = scratch.put(each.groupBy("w").agg(F.count("*").alias("f")).where("f > 1"), "known")
+    rare = each.join(known.hint("merge"), "w").groupBy("s").agg(F.array_sort(F.collect_list(F.struct("f", "w"))).alias("ws"))
+    # Shingles that no other of these sets has come first; the smallest set that one is similar to has least * n.
+    rare = open_.select("s", "n", "c").join(rare.hint("merge"), "s").select("s", "n", "c", F.posexplode("ws").alias("i", "e"), (F.col("n") - F.size("ws")).alias("alone"))
+    rare = rare.select(F.col("e.w").alias("w"), "s", "n", "c", (F.col("n") - F.col("alone") - F.col("i")).alias("left")).where(F.col("left") >= F.ceil(F.col("n") * F.lit(least) - 1e-9))
+    rare = scratch.put(rare, "rare")
+    l, r = (rare.select("w", *[F.col(x).alias(f"{side}_{x}") for x in ("s", "n", "c", "left")]) for side in "lr")
+    fits = (F.col("l.w") == F.col("r.w")) & (F.col("l_c") != F.col("r_c")) & sizes_ok(F.col("l_n"), F.col("r_n")) & (F.least("l_left", "r_left") >= common(F.col("l_n"), F.col("r_n")))
+    alive = scratch.put(l.alias("l").join(r.alias("r").hint("merge"), fits, "left_semi").select("w", F.col("l_s").alias("s"), F.col("l_c").alias("c")), "alive")
+
+    # Their pairs are compared bucket by bucket, in pairs of blocks, which give back links only.
+    sizes = scratch.put(alive.groupBy("w").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("k")), "sizes")
+    rows = alive.join(sizes.hint("merge"), "w").withColumn("own", F.pmod(F.xxhash64("s"), "k").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+    rows = rows.select("w", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "s", "c").join(sets.hint("merge"), "s")
+    links.append(scratch.put(rows.groupBy("w", "i", "j").applyInPandas(_block(least), "a long, b long"), "links"))
+    if not links[-1].isEmpty():
+        roots = scratch.put(components(reduce(DataFrame.union, links), scratch), "roots")
+    if roots is None:
+        roots = links[0].select(F.col("a").alias("node"), F.col("b").alias("root"))
 
     rooted = scratch.put(distinct.join(roots.withColumnRenamed("node", "s"), "s", "left").select("s", "first_doc", F.coalesce("root", "s").alias("root")), "rooted")
     lowest = scratch.put(rooted.groupBy("root").agg(F.min("first_doc").alias("component_id")), "least")

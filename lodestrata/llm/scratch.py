@@ -30,12 +30,39 @@ def folder(spark: SparkSession) -> str:
 
 
 class Scratch:
-    """The scratch tables of one operator call, in a folder of their own."""
+    """The scratch tables of one operator call, in a folder of their own.
+
+    An operator returns a plan that reads them, so it can't delete them itself:
+    ``close`` them, or all that were made since a ``mark``, once what the plan
+    gives has been written.
+    """
+
+    _made: list[Scratch] = []
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{folder(spark)}/lodestrata/{name}-{uuid.uuid4().hex}"
         self._n = 0
+        Scratch._made.append(self)
+
+    @staticmethod
+    def mark() -> int:
+        return len(Scratch._made)
+
+    @staticmethod
+    def close_since(mark: int) -> None:
+        while len(Scratch._made) > mark:
+            Scratch._made[-1].close()
+
+    def close(self) -> None:
+        """Delete all tables of this call."""
+        self._delete(self.root)
+        if self in Scratch._made:
+            Scratch._made.remove(self)
+
+    def _delete(self, path: str) -> None:
+        at = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
     def put(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` and read it back: no lineage, no kept partitioning.
@@ -52,7 +79,5 @@ class Scratch:
 
     def drop(self, *frames: DataFrame) -> None:
         """Delete tables that no later plan reads."""
-        jvm = self.spark.sparkContext._jvm
         for df in frames:
-            at = jvm.org.apache.hadoop.fs.Path(df._scratch)
-            at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+            self._delete(df._scratch)
