@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from . import textvec as tv
 
 BLOCK_ITEMS = 20_000
+#: Bytes of the items of a block on average, at most.
+BLOCK_BYTES = 1 << 26
 BANDS = 64
 #: Shingles in a block, and the most shingles of an item that is looked up directly.
 UNIT, TINY = 16, 8
@@ -158,8 +160,9 @@ def _hashes(text: str | None, k: int) -> np.ndarray:
 
 def indexes(benchmark: DataFrame, words: int, item_col: str, text_col: str) -> Iterator:
     """Broadcast indexes of the benchmark's blocks, one after another."""
-    items = benchmark.select(F.col(item_col).cast("long"), F.col(text_col).cast("string")).dropDuplicates()
-    blocks = -(-items.count() // BLOCK_ITEMS)
+    items = benchmark.select(F.col(item_col).try_cast("long"), F.col(text_col).cast("string")).dropDuplicates()
+    n, size = items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length(items.columns[1])), F.lit(0))).first()
+    blocks = max(-(-n // BLOCK_ITEMS), -(-size // BLOCK_BYTES)) if n else 0
     for b in range(blocks):
         own = items if blocks == 1 else items.where(F.pmod(F.xxhash64(*items.columns), F.lit(blocks)) == b)
         yield benchmark.sparkSession.sparkContext.broadcast(Index([tuple(r) for r in own.collect()], words))
@@ -177,7 +180,7 @@ def contaminated(
     again, a repeated item (same id and text) counts once. Empty tables give an
     empty result. Other columns play no part.
     """
-    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    own = docs.select(F.col(id_col).try_cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema, out = "doc_id long, item_id long, containment double", None
 
     for index in indexes(benchmark, words, item_col, item_text_col):
@@ -195,17 +198,35 @@ def contaminated(
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, words: int = 5, threshold: float = 0.8, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all their columns, that hold no test item by the rule of ``contaminated``."""
-    for index in indexes(benchmark, words, item_col, item_text_col):
+    """The rows of ``docs``, with all their columns, that hold no test item by the rule of ``contaminated``.
 
-        def run(batches: Iterator[pa.RecordBatch], index=index, at=docs.columns.index(text_col)) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                keep = np.ones(b.num_rows, bool)
-                keep[[r for r, _, _ in index.value.matches(b.column(at), threshold)]] = False
-                yield b.filter(pa.array(keep))
+    One block of items is one pass over the texts. Of several blocks each is a
+    pass of its own, so that a worker holds one index at a time; what they find
+    is left out by two 64-bit hashes of the text.
+    """
+    blocks = list(indexes(benchmark, words, item_col, item_text_col))
+    at, schema = docs.columns.index(text_col), docs.schema
 
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+    def passing(index, keep: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                on = np.full(b.num_rows, keep)
+                on[[r for r, _, _ in index.value.matches(b.column(at), threshold)]] = not keep
+                yield b.filter(pa.array(on))
+
+        return run
+
+    if len(blocks) <= 1:
+        return docs.mapInArrow(passing(blocks[0], True), schema) if blocks else docs
+    text = F.col(f"`{text_col}`").cast("string")
+    prints = lambda d: [F.xxhash64(text).alias("one"), F.xxhash64(F.lit("second"), text).alias("two")]
+    gone = None
+    for index in blocks:
+        part = docs.mapInArrow(passing(index, False), schema).select(*prints(docs))
+        gone = part if gone is None else gone.union(part)
+    gone = gone.distinct().hint("merge")  # grows with the corpus
+    one, two = prints(docs)
+    return docs.join(gone, (one == gone["one"]) & (two == gone["two"]), "left_anti")
 
 
 #: The same rule in plain SQL, for DuckDB.

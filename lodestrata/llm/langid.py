@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 
 from . import textvec as tv
 
-#: Labelled texts that are learned from, at most so many a language, chosen by a hash of the id.
-TRAIN_ROWS = 3000
+#: Labelled texts that are learned from: at most so many and about so many bytes a language, chosen by a hash of the id;
+#: none of more than so many bytes itself; of the languages with most rows at most so many.
+TRAIN_ROWS, TRAIN_BYTES, TEXT_BYTES, LANGS = 3000, 1 << 24, 1 << 16, 64
 #: Buckets of trigrams and of words; the most that one word may speak against a language; the cost of a switch.
 BUCKETS, FLOOR, SWITCH = 1 << 17, 8.0, 16.0
 #: Share of a language's letters from which a script is one of its own.
@@ -199,14 +200,18 @@ class Model:
 
 
 def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most: int = TRAIN_ROWS) -> Model:
-    """A model of at most ``most`` texts of each language of ``labelled``, chosen by a hash of the id."""
+    """A model of at most ``most`` texts of each language of ``labelled`` (see ``TRAIN_ROWS`` for all bounds), chosen by a hash of the id."""
     rows = labelled.select(F.col(id_col).alias("i"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).where("text is not null and lang is not null")
-    count = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
-    langs = sorted(count)
+    size = F.octet_length("text")
+    rows = rows.where(size <= TEXT_BYTES)
+    most_rows = rows.groupBy("lang").agg(F.count("*").alias("n"), F.sum(size).alias("b")).orderBy(F.desc("n"), "lang").limit(LANGS).collect()
+    share = {r["lang"]: min(1.0, most / r["n"], TRAIN_BYTES / max(r["b"], 1)) for r in most_rows}
+    langs = sorted(share)
     if not langs:
         return Model([], [])
     part = F.pmod(F.xxhash64("i"), F.lit(1 << 20))
-    share = F.element_at(F.create_map(*[F.lit(x) for k in langs for x in (k, int(min(1.0, most / count[k]) * (1 << 20)))]), F.col("lang"))
+    share = F.element_at(F.create_map(*[F.lit(x) for k in langs for x in (k, int(share[k] * (1 << 20)))]), F.col("lang"))
+    rows = rows.where(F.col("lang").isin(langs))
     got = rows.where(part < share).select("lang", "text").toArrow()
     return Model(langs, [got.filter(pa.compute.equal(got["lang"], k))["text"].combine_chunks() for k in langs])
 
@@ -225,7 +230,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
             got = list(shared.value.predict(b.column(1)))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x[0] for x in got], pa.string()), pa.array([x[1] for x in got], pa.float64())], ["doc_id", "lang_pred", "score"])
 
-    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    own = docs.select(F.col(id_col).try_cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return own.mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
@@ -239,7 +244,7 @@ def spans(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             got = [[{"first": f, "end": e, "lang": k} for f, e, k in x[2]] for x in shared.value.predict(b.column(1), spans=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, kind)], ["doc_id", "spans"])
 
-    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    own = docs.select(F.col(id_col).try_cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return own.mapInArrow(run, "doc_id long, spans array<struct<first int, end int, lang string>>")
 
 

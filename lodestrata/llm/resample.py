@@ -100,10 +100,10 @@ def resample(docs: DataFrame, target_ids: DataFrame, keep: float = KEEP, id_col:
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "resample")
-    ids = target_ids.select(F.col(f"`{target_ids.columns[0]}`").cast("long").alias("t")).where("t is not null").distinct()
+    ids = target_ids.select(F.col(f"`{target_ids.columns[0]}`").try_cast("long").alias("t")).where("t is not null").distinct()
     share = int(min(1.0, target_rows / max(1, ids.count())) * (1 << 20))
     ids = ids.where(F.pmod(F.xxhash64("t"), F.lit(1 << 20)) < share)  # about target_rows ids at most
-    own = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    own = docs.select(F.col(f"`{id_col}`").try_cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     marked = own.join(F.broadcast(ids), F.col("doc_id") == F.col("t"), "left").select("text", F.col("t").isNotNull().alias("is_target"))
     ratio = spark.sparkContext.broadcast(log_ratio(*counts(marked)))
 

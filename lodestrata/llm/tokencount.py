@@ -148,7 +148,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache_dir: str | None = None,
     there = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
 
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    own = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), digest_of(text, counter.blank_free).alias("digest"), F.octet_length(text).cast("long").alias("n_bytes"))
+    own = docs.select(F.col(f"`{id_col}`").try_cast("long").alias("doc_id"), digest_of(text, counter.blank_free).alias("digest"), F.octet_length(text).cast("long").alias("n_bytes"))
     own = scratch.put(own, "digests")
     missing = own.groupBy("digest").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id")).alias("first"))
     if there:
@@ -157,7 +157,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache_dir: str | None = None,
     missing = scratch.put(missing.select("digest", F.col("first.doc_id").alias("doc_id")), "missing")
 
     # One text of each missing digest: of the rows with the least id, in case ids repeat the first that a task meets.
-    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text")).withColumn("digest", digest_of(F.col("text"), counter.blank_free))
+    texts = docs.select(F.col(f"`{id_col}`").try_cast("long").alias("doc_id"), text.alias("text")).withColumn("digest", digest_of(F.col("text"), counter.blank_free))
     same = (texts["digest"] == missing["digest"]) & texts["doc_id"].eqNullSafe(missing["doc_id"])
     texts = texts.join(missing.hint("shuffle_hash"), same, "left_semi").select("digest", "text")
     blob = spark.sparkContext.broadcast(open(tokenizer, "rb").read())

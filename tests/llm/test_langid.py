@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestrata.llm import langid, queries
+from tests.llm import plain
 
 EN = "the quick brown fox and the lazy dog were walking through this little town because they wanted something different"
 DE = "der schnelle braune fuchs und der faule hund gingen durch diese kleine stadt weil sie etwas anderes wollten"
@@ -49,6 +50,23 @@ def test_labels_are_a_best_path(model):
             assert abs(value(s, model.label(s).tolist()) - viterbi(s)[0]) < 1e-3
 
 
+def test_word_scores_against_plain_python(model):
+    """Trigrams and words of a text, hashed and looked up one by one."""
+    text = "The quick Fuchs ging because x2 Ärger"
+    names = [w for w in plain.only_words(text) if any(chr(b).isalpha() for b in w if b < 128) or any(b >= 0xC2 for b in w)]
+    w = next(langid.words(raw, off) for _, _, raw, off in langid.tv.slices(pa.array([text]), lower=False))
+    got = model.scores(w)
+    assert len(got) == len(names)
+    for row, name in zip(got, names, strict=True):
+        low = name.decode().lower().encode()
+        padded = b" " + low + b" "
+        grams = [((padded[i - 1] << 16 | padded[i] << 8 | padded[i + 1]) * 0x9E3779B1 & 0xFFFFFFFF) >> 15 for i in range(1, len(padded) - 1)]
+        raw = [sum(float(model.gram[g, k]) for g in grams) + float(model.word[plain.word_hash(low) >> 47, k]) for k in range(3)]
+        raw[2] = -np.inf if name.isascii() or "\u00c4" in name.decode() else raw[2]
+        best = max(raw)
+        assert np.allclose(row, [max(x - best, -langid.FLOOR) for x in raw], atol=1e-3)
+
+
 def test_texts_and_spans(model):
     got = list(model.predict(pa.array([EN, DE.upper(), RU, None, "", "123 ...", f"{EN}. {RU}", "日本語"]), spans=True))
     assert [g[0] for g in got[:6]] == ["en", "de", "ru", "und", "und", "und"] and all(0 <= g[1] <= 1 for g in got)

@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -6,6 +7,37 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestrata.llm import resample as r
+from tests.llm import plain
+
+
+def test_ngrams_against_plain_hashes():
+    texts = ["Alpha beta ++ gamma", "", "é ÜBER alles, x2", "one", " .. ", "a b" * 30]
+    for t in texts:
+        h = [plain.word_hash(w) for w in plain.runs(t)]
+        want = [x >> 50 for x in h] + [plain.pair_hash(a, b) >> 50 for a, b in zip(h, h[1:])]
+        got = [r.ngrams(b, off)[0].tolist() for _, _, b, off in r.tv.slices(pa.array([t]))][0]
+        assert got == want
+    raw, target = np.array([3.0, 0.0, 5.0]), np.array([1.0, 0.0, 0.0])
+    ratio = r.log_ratio(np.pad(raw, (0, r.BUCKETS - 3)), np.pad(target, (0, r.BUCKETS - 3)))
+    assert ratio[0] == pytest.approx(np.log(2 / (1 + r.BUCKETS)) - np.log(4 / (8 + r.BUCKETS))) and ratio[2] == pytest.approx(np.log(1 / (1 + r.BUCKETS)) - np.log(6 / (8 + r.BUCKETS)))
+
+
+def test_noise_against_plain_python(spark):
+    """Gumbel noise of an id, drawn from its hash."""
+    df = spark.createDataFrame([(7, "a b"), (10**12, "c"), (-3, "")], "doc_id long, text string")
+    for x in r.resample(df, spark.createDataFrame([], "doc_id long"), keep=0.5).collect():
+        u = ((plain.mix((plain.mix(x["doc_id"] & plain.M) + 5) & plain.M) >> 12) + 0.5) / 2.0**52
+        assert x["gumbel_key"] == pytest.approx(-math.log(-math.log(u)), rel=1e-12) and x["log_weight"] == 0
+
+
+def test_long_texts_and_ties(spark):
+    """A long text counts whole; texts that tie in key go by id, then by hash."""
+    long = " ".join(["good"] * 30_000 + ["bad"] * 30_000)
+    rows = [(1, "good good good"), (2, "bad bad bad"), (3, long), (5, "x"), (5, "x"), (5, "y"), (None, "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = r.resample(df, spark.createDataFrame([(1,)], "doc_id long"), keep=0.6).collect()
+    by = {x["doc_id"]: x["log_weight"] for x in got}
+    assert len(got) == 7 and sum(x["selected"] for x in got) == 5 and by[2] / 5 < by[3] / r.LENGTH < by[1] / 5
 
 
 def test_counts_and_weights_against_plain_python(spark):
