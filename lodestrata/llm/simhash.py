@@ -35,9 +35,9 @@ from .components import components
 from .scratch import Scratch
 
 #: Fingerprints an average leaf is meant to own, sampled fingerprints for each leaf, and the most that are sampled.
-LEAF_ROWS, SAMPLE_PER_LEAF, SAMPLE_MOST = 8192, 32, 1 << 18
+LEAF_ROWS, SAMPLE_PER_LEAF, SAMPLE_MOST = 2048, 32, 1 << 18
 #: A shard with more entries is divided.
-SHARD_ROWS = 32_768
+SHARD_ROWS = 24_000
 #: A run of more fingerprints that share blocks of bits is searched from one to the next instead of pair by pair.
 RUN = 64
 #: Candidates that each node of the tree tries as vantage point.
@@ -124,9 +124,13 @@ def blocks(n: int) -> list[int]:
 
 
 def spread(fp: np.ndarray, radius: int) -> np.ndarray:
-    """For each of the distinct values the index of its component's first value, all pairs compared until a component is known."""
+    """For each of the distinct values the index of its component's first value, all pairs compared."""
     n = len(fp)
-    root, left = np.arange(n), np.arange(n)
+    root, some = np.arange(n), np.zeros(n, bool)
+    step = max(1, (1 << 21) // max(n, 1))
+    for a in range(0, n, step):
+        some[a : a + step] = (np.bitwise_count(fp[a : a + step, None] ^ fp[None, :]) <= radius).sum(axis=1) > 1
+    left = np.flatnonzero(some)
     while len(left):
         first, front, left = left[0], left[:1], left[1:]
         while len(front) and len(left):
@@ -143,13 +147,17 @@ def forest(fp: np.ndarray, radius: int) -> np.ndarray:
     """For each of the distinct values the index of its component's first value, within ``radius`` of each other link by link."""
     n = len(fp)
     one, two = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    own = blocks(radius + 2)
-    for x, y in combinations(own, 2):
+    sorted_by = []
+    for x, y in combinations(blocks(radius + 2), 2):
         key = fp & np.uint64(x | y)
         order = np.argsort(key, kind="stable")
         key = key[order]
         cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
-        size = np.diff(cut)
+        sorted_by.append((key, order, cut, np.diff(cut)))
+    # Fingerprints that share most blocks anyway are compared once instead of in every run.
+    if sum((size.astype(float) ** 2).sum() for *_, size in sorted_by) > float(n) ** 2:
+        return spread(fp, radius)
+    for key, order, cut, size in sorted_by:
         for k in np.flatnonzero(size > RUN):
             run = order[cut[k] : cut[k + 1]]
             to = run[spread(fp[run], radius)]
