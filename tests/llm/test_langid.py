@@ -1,4 +1,6 @@
+import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -113,3 +115,17 @@ def test_held_out_accuracy(spark):
     d = "/root/testdata/sf0.01"
     got = queries.op4_language(spark, d).join(spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "lang"), "doc_id").where("held_out").collect()
     assert len(got) > 150 and sum(r["lang_pred"] == r["lang"] for r in got) / len(got) > 0.97
+
+
+def test_learning_gives_its_memory_back(spark):
+    """Training texts of 40 MB leave the driver once a model is made."""
+    at = Path("/proc/self/smaps_rollup")
+    if not at.exists():
+        pytest.skip("memory can't be read here")
+    held = lambda: sum(map(int, re.findall(r"\nPss_Anon:\s+(\d+)", at.read_text()))) / 1024
+    k = F.col("id").cast("string")
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.repeat(F.concat(F.lit("the word "), k, F.lit(" and "), F.sha2(k, 256), F.lit("\n")), 120).alias("text"), F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("lang"))
+    langid.learn(docs.limit(20))
+    before = held()
+    model = langid.learn(docs)
+    assert model.langs == ["a", "b"] and held() - before < 25
