@@ -287,3 +287,21 @@ def test_drain():
     assert state.drain(100, lambda n: 40.0, 30, budget_ms=100, cold_ms=50).stop_reason == "time_budget"
     assert state.drain(100, lambda n: 1.0, 30, budget_ms=100, cold_ms=5, most=40).processed == 40
     assert state.drain(100, lambda n: 1.0, 30, budget_ms=10, cold_ms=50).processed == 0
+
+
+def test_labels_by_code_sets(spark):
+    compounds = frame(spark, [(1, [1, 2]), (2, [2, 1, 1]), (3, [3]), (4, [None]), (5, [9]), (3, [2]), (6, None)], "id int, codes array<int>")
+    labels = frame(spark, [(10, [1, 2], True), (11, [2, 3], False), (12, [3, 3, None], None), (10, [3], True), (13, [8], True), (14, None, True), (15, [1], False)], "label int, lc array<int>, has_boxed_warning boolean")
+    lists = {r["id"]: (r["labels"], r["boxed"]) for r in joins.label_links(compounds, "id", "codes", labels, "label", "lc").collect()}
+    assert lists == {1: ([10, 11, 15], 1), 2: ([10, 11, 15], 1), 3: ([10, 11, 12], 1)}
+    got = joins.label_counts(compounds, "id", "codes", labels, "label", "lc")
+    assert {r["id"]: (r["n_labels"], r["first"], r["boxed"]) for r in got.collect()} == {k: (len(x), min(x), b) for k, (x, b) in lists.items()}
+
+
+def test_label_query_groups_pairs_of_code_sets(spark):
+    """The query joins sums of labels of equal codes, and never collects a compound's labels."""
+    from __spark_entry__ import TESTDATA, queries
+
+    got = queries()["label_links"](spark, f"{TESTDATA}/sf0.001")
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "_theirs" in plan and "collect_list" not in plan
