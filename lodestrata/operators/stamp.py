@@ -25,15 +25,19 @@ def number(new: DataFrame, order: str, start: int, space: str, kind: str, parts:
     """Counters from ``start`` without a gap, in the order of a unique column.
 
     Rows are range-partitioned and numbered within partitions; the partitions'
-    sizes give their starts, so that no task sees all rows.
+    sizes give their starts, so that no task sees all rows. Spark samples the
+    ranges anew each time a plan is run, so the ranges whose rows were counted
+    are read once, here, and rows are dealt by them and not by a second sample.
     """
-    dealt = new.repartitionByRange(parts, order).withColumn("_p", F.spark_partition_id()).sortWithinPartitions(order)
-    sizes = dealt.groupBy("_p").agg(F.count("*").alias("_n"), F.min(order).alias("_lo"))
-    # One row for each partition.
-    starts = sizes.withColumn("_start", F.coalesce(F.sum("_n").over(Window.orderBy("_lo").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    at = F.row_number().over(Window.partitionBy("_p").orderBy(order))
-    out = dealt.withColumn("_at", at).join(starts.select("_p", "_start"), "_p").withColumn("counter_value", F.col("_at") - 1 + F.col("_start") + start)
-    return out.withColumn("sid_c", sid(space, kind, F.col("counter_value"))).drop("_p", "_at", "_start")
+    dealt = new.select(order).repartitionByRange(parts, order).withColumn("_p", F.spark_partition_id())
+    # One row for each partition; a null stands before all others, in the first.
+    sizes = dealt.groupBy("_p").agg(F.count("*").alias("_n"), F.min(order).alias("_lo")).orderBy("_p").collect()
+    lows = [F.lit(r["_lo"]).cast(new.schema[order].dataType) for r in sizes[1:]]
+    starts = [start + sum(r["_n"] for r in sizes[:i]) for i in range(max(len(sizes), 1))]
+    part = F.size(F.filter(F.array(*lows), lambda x: x <= F.col(order))) if lows else F.lit(0)
+    out = new.withColumn("_p", part).withColumn("_at", F.row_number().over(Window.partitionBy("_p").orderBy(order)))
+    first = F.element_at(F.array(*[F.lit(x).cast("long") for x in starts]), F.col("_p") + 1)
+    return out.withColumn("counter_value", F.col("_at") - 1 + first).withColumn("sid_c", sid(space, kind, F.col("counter_value"))).drop("_p", "_at")
 
 
 def ledger_entries(numbered: DataFrame, kind: str, version: str, payload: str, at: Column) -> DataFrame:

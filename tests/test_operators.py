@@ -305,3 +305,14 @@ def test_label_query_groups_pairs_of_code_sets(spark):
     got = queries()["label_links"](spark, f"{TESTDATA}/sf0.001")
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "_theirs" in plan and "collect_list" not in plan
+
+
+@pytest.mark.parametrize("kind", ["long", "string", "timestamp"])
+def test_numbers_follow_the_order_beyond_a_sample(spark, kind):
+    """So many rows that Spark only samples them for the ranges; a null comes first."""
+    key = F.format_string("%06d", "id") if kind == "string" else F.timestamp_seconds(F.col("id") * 3600) if kind == "timestamp" else F.col("id")
+    df = spark.range(30000).select(F.when(F.col("id") > 0, key).alias("k"), "id", F.sha2(F.col("id").cast("string"), 256).alias("other")).orderBy("other")
+    new = stamp.number(df, "k", 7, "n", "c", parts=5)
+    assert new.columns == ["k", "id", "other", "counter_value", "sid_c"]
+    assert new.count() == 30000 and new.where("counter_value <> id + 7").count() == 0
+    assert stamp.number(df.limit(0), "k", 7, "n", "c").count() == 0
