@@ -27,7 +27,7 @@ def entries(df: DataFrame, id_col: str, names: Column, long_name: Column, extra:
 def locators(df: DataFrame, key: str, kind, rows_per_shard: int) -> DataFrame:
     """(key, shard, place, content_hash): where each canonical record stands in shards of ``rows_per_shard`` by key, and its hash.
 
-    Numbered by key within range partitions, so that no task sorts all rows.
+    Numbered by key within range partitions, whose bounds ``number`` reads once, so that no task sorts all rows.
     """
     from ..functions.ident import content_hash
     from .stamp import number

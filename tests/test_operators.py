@@ -316,3 +316,9 @@ def test_numbers_follow_the_order_beyond_a_sample(spark, kind):
     assert new.columns == ["k", "id", "other", "counter_value", "sid_c"]
     assert new.count() == 30000 and new.where("counter_value <> id + 7").count() == 0
     assert stamp.number(df.limit(0), "k", 7, "n", "c").count() == 0
+
+
+def test_locators_follow_the_key_beyond_a_sample(spark):
+    df = spark.range(50000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("other")).orderBy("other")
+    got = index.locators(df, "id", df.schema, 64)
+    assert [(r["id"], r["shard"] * 64 + r["place"], len(r["content_hash"])) for r in got.orderBy("id").collect()] == [(i, i, 64) for i in range(50000)]
