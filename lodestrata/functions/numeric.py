@@ -155,6 +155,14 @@ def best_by(items: Column, ranks: dict[str, int]) -> Column:
     return F.array_max(F.filter(scored, lambda s: s["r"].isNotNull()))["x"]
 
 
-def ewma(xs: Column, alpha: float = 0.7) -> Column:
-    """An exponentially weighted mean over an ordered array; the first value (or one after a mean of 0) stands for itself."""
+def ewma(xs: Column, alpha: float = 0.7, restart: bool = True) -> Column:
+    """An exponentially weighted mean over an ordered array.
+
+    The first value stands for itself. With ``restart`` a mean of 0 means none
+    yet, so that one after it does too, and an empty array has 0; without it 0
+    is a value like others, and an empty array has null.
+    """
+    if not restart:
+        keep = round(1 - alpha, 12)
+        return F.aggregate(F.slice(xs, 2, F.greatest(F.size(xs), F.lit(1))), F.get(xs, 0).cast("double"), lambda s, x: s * keep + x * alpha)
     return F.aggregate(xs, F.lit(0.0), lambda s, x: F.when(s == 0, x.cast("double")).otherwise(s * (1 - alpha) + x * alpha))

@@ -183,3 +183,9 @@ def test_paths(spark):
     got = df.select(*[paths.present(p).alias(f"c{i}") for i, p in enumerate(want)]).first()
     assert list(got) == list(want.values())
     assert df.select(paths.missing(list(want)).alias("m")).first()["m"] == [p for p, v in want.items() if not v]
+
+
+def test_ewma_without_restart(spark):
+    got = each(spark, lambda x: F.round(numeric.ewma(x, restart=False), 9), [[10.0, 20.0], [0.0, 20.0], [0.0, 0.0, 5.0], [3.0], [], [None, 1.0], [1.0, None, 2.0]], "array<double>")
+    assert got == [17.0, 14.0, 3.5, 3.0, None, None, None]
+    assert each(spark, numeric.ewma, [[0.0, 20.0]], "array<double>") == [20.0]

@@ -76,3 +76,17 @@ def test_queries_that_write_and_read_match_brute_force(spark):
     got = {r["k"]: r["n"] for r in storage.QUERIES["lenient_scan"](spark, sf).collect()}
     assert got and all(k % 7 and k % 11 for k in got)
     assert records.QUERIES["load_failures"](spark, sf).where("failure_class = 'timeout' and not retryable").count() == 0
+
+
+def test_ewma_of_zeros_and_unordered_events(spark, tmp_path):
+    """A first value of 0 weighs like any other, as the SQL has it; events without an id come last."""
+    import duckdb
+
+    from __spark_entry__ import oracle_sql, queries
+
+    rows = [(1, 2, 20.0), (1, 1, 0.0), (2, 1, 0.0), (2, 2, 0.0), (2, 3, 5.0), (3, None, 9.0), (3, 4, 1.0), (3, 5, 2.0), (3, 6, 3.0), (4, 7, None), (4, 8, 1.0), (5, 9, 4.0)]
+    spark.createDataFrame(rows, "user_id long, event_id long, value double").write.parquet(str(tmp_path / "events.parquet"))
+    got = {r["user_id"]: r["mean"] for r in queries()["ewma_fold"](spark, str(tmp_path)).collect()}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS FROM '{tmp_path}/events.parquet/*.parquet'")
+    assert got == dict(con.sql(oracle_sql()["ewma_fold"]).fetchall()) == {1: 14.0, 2: 3.5, 3: 2.61, 4: None, 5: 4.0}
