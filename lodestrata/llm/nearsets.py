@@ -153,23 +153,26 @@ def near_duplicates(docs: DataFrame, words: int = 5, least: float = 0.8, id_col:
     scratch = Scratch(docs.sparkSession, "nearsets")
     docs = docs.select(F.col(id_col).try_cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     sketch = scratch.put(_sketches(docs, words), "sketches")
-    prints = scratch.put(simhash.near_duplicates(docs, words).where("doc_id <> component_id").select("doc_id", "component_id").distinct(), "prints")
+    scratch.sized(sketch.count())
+    near = scratch.near
+    prints = scratch.put(near(simhash.near_duplicates(docs, words).where("doc_id <> component_id").select("doc_id", "component_id")).distinct(), "prints")
     # Equal sets have equal keys.
     distinct = scratch.put(sketch.groupBy("s").agg(F.min("doc_id").alias("first_doc"), F.first("n").alias("n")), "distinct")
-    one = sketch.join(distinct.withColumnRenamed("first_doc", "f").select("s", "f"), "s").where(F.col("doc_id").eqNullSafe(F.col("f"))).select("s", "n", "keys").dropDuplicates(["s"])
+    one = near(sketch.join(distinct.withColumnRenamed("first_doc", "f").select("s", "f"), "s").where(F.col("doc_id").eqNullSafe(F.col("f"))).select("s", "n", "keys")).dropDuplicates(["s"])
     table = scratch.put(one.select("s", "n", F.explode("keys").alias("h")), "bands")
     sizes = scratch.put(table.groupBy("h").agg(F.min("s").alias("low"), F.max("s").alias("high"), F.count("*").alias("k")).where("low <> high").select("h", "k"), "buckets")
     table = scratch.put(table.join(sizes.select("h"), "h").distinct(), "shared")
 
     # The texts of whatever is in a bucket with another set, each set once.
-    wanted = table.select("s").union(sketch.join(prints.select("doc_id").union(prints.select("component_id")).distinct().hint("merge"), "doc_id").select("s")).distinct().join(distinct, "s").select("s", "first_doc")
+    printed = near(prints.select("doc_id").union(prints.select("component_id")).distinct())
+    wanted = near(table.select("s").union(near(sketch.join(printed.hint("merge"), "doc_id").select("s"))).distinct()).join(distinct, "s").select("s", "first_doc")
     wanted = scratch.put(wanted, "wanted")
-    texts = docs.join(wanted.select(F.col("first_doc").alias("f")).distinct().hint("merge"), F.col("doc_id").eqNullSafe(F.col("f")), "left_semi")
-    sets = scratch.put(_members(texts, words).join(wanted.select("s"), "s", "left_semi").dropDuplicates(["s"]), "sets")
+    texts = near(docs.join(near(wanted.select(F.col("first_doc").alias("f")).distinct()).hint("merge"), F.col("doc_id").eqNullSafe(F.col("f")), "left_semi"))
+    sets = scratch.put(near(_members(texts, words).join(wanted.select("s"), "s", "left_semi")).dropDuplicates(["s"]), "sets")
 
     def linked(pairs: DataFrame) -> DataFrame:
         """Those of the pairs (a, b) that are similar enough."""
-        got = pairs.join(sets.select(F.col("s").alias("a"), F.col("x").alias("l")).hint("merge"), "a").join(sets.select(F.col("s").alias("b"), F.col("x").alias("r")).hint("merge"), "b")
+        got = near(pairs.join(sets.select(F.col("s").alias("a"), F.col("x").alias("l")).hint("merge"), "a")).join(sets.select(F.col("s").alias("b"), F.col("x").alias("r")).hint("merge"), "b")
         common = F.size(F.array_intersect("l", "r"))
         return got.withColumn("k", common).where(F.col("k") / (F.size("l") + F.size("r") - F.col("k")) >= least).select("a", "b")
 
@@ -179,9 +182,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, least: float = 0.8, id_col:
     def merge(pairs: DataFrame) -> bool:
         """Compare the pairs (a, b) that haven't been compared yet."""
         nonlocal roots
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        pairs = near(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct()
         for x in tried:
-            pairs = pairs.join(x.hint("merge"), ["a", "b"], "left_anti")
+            pairs = near(pairs).join(x.hint("merge"), ["a", "b"], "left_anti")
         tried.append(scratch.put(pairs, "tried"))
         links.append(scratch.put(linked(tried[-1]), "links"))
         if links[-1].isEmpty():
@@ -192,32 +195,32 @@ def near_duplicates(docs: DataFrame, words: int = 5, least: float = 0.8, id_col:
     def classed() -> DataFrame:
         """The rows of the buckets that hold several classes."""
         rows = table if roots is None else table.join(roots.withColumnRenamed("node", "s").hint("merge"), "s", "left").withColumn("c", F.coalesce("root", "s")).drop("root")
-        rows = rows if roots is not None else rows.withColumn("c", F.col("s"))
-        main = rows.groupBy("h", "c").agg(F.count("*").alias("k")).groupBy("h").agg(F.max_by("c", F.struct("k", "c")).alias("main"), F.count("*").alias("k")).where("k > 1")
+        rows = scratch.put(rows, "named") if roots is not None else rows.withColumn("c", F.col("s"))
+        main = near(near(rows.groupBy("h", "c").agg(F.count("*").alias("k"))).groupBy("h").agg(F.max_by("c", F.struct("k", "c")).alias("main"), F.count("*").alias("k")).where("k > 1"))
         return scratch.put(rows.join(main.select("h", "main").hint("merge"), "h"), "classed")
 
     # SimHash: each set with the one of its class's first document.
-    ids = sketch.where("doc_id is not null").select("doc_id", "s").distinct()
-    merge(prints.join(ids.hint("merge"), "doc_id").withColumnRenamed("s", "a").join(ids.select(F.col("doc_id").alias("component_id"), F.col("s").alias("b")).hint("merge"), "component_id").where("a <> b").select("a", "b"))
+    ids = scratch.put(sketch.where("doc_id is not null").select("doc_id", "s").distinct(), "ids")
+    merge(near(prints.join(ids.hint("merge"), "doc_id")).withColumnRenamed("s", "a").join(ids.select(F.col("doc_id").alias("component_id"), F.col("s").alias("b")).hint("merge"), "component_id").where("a <> b").select("a", "b"))
     # A set in large buckets is near to what its group has in common: as a leader it links most. The second round's isn't of the main class.
-    hub = scratch.put(table.join(sizes.hint("merge"), "h").groupBy("s").agg(F.sum("k").alias("hub")), "hubs")
+    hub = scratch.put(near(table.join(sizes.hint("merge"), "h")).groupBy("s").agg(F.sum("k").alias("hub")), "hubs")
     table = scratch.put(table.join(hub.hint("merge"), "s"), "led")
     for turn in range(ROUNDS):
         rows = classed()
         by = F.struct("hub", "s")
-        lead = rows.groupBy("h").agg(F.max_by(F.struct("s", "n", "c"), F.when(F.col("c") != F.col("main") if turn % 2 else F.lit(True), by)).alias("l"))
-        tries = rows.join(lead.hint("merge"), "h").where((F.col("c") != F.col("l.c")) & sizes_ok(F.col("n"), F.col("l.n"))).groupBy("s", F.col("l.s").alias("lead")).agg(F.count("*").alias("k"))
-        if not merge(tries.groupBy("s").agg(F.max_by("lead", F.struct("k", "lead")).alias("lead")).select(F.col("s").alias("a"), F.col("lead").alias("b"))):
+        lead = near(rows.groupBy("h").agg(F.max_by(F.struct("s", "n", "c"), F.when(F.col("c") != F.col("main") if turn % 2 else F.lit(True), by)).alias("l")))
+        tries = near(rows.join(lead.hint("merge"), "h")).where((F.col("c") != F.col("l.c")) & sizes_ok(F.col("n"), F.col("l.n"))).groupBy("s", F.col("l.s").alias("lead")).agg(F.count("*").alias("k"))
+        if not merge(near(tries).groupBy("s").agg(F.max_by("lead", F.struct("k", "lead")).alias("lead")).select(F.col("s").alias("a"), F.col("lead").alias("b"))):
             break
     # What is left, exactly: two sets have to have ``common(n, m)`` shingles in common, so of the shingles of either in one
     # order, the rarest first, they share one that as many follow in both. Sets without such a partner are done.
     common = lambda n, m: F.ceil((n + m) * (least / (1 + least)) - 1e-9)
-    open_ = scratch.put(classed().select("s", "n", "c").distinct().join(sets.hint("merge"), "s"), "open")
+    open_ = scratch.put(near(classed().select("s", "n", "c").distinct()).join(sets.hint("merge"), "s"), "open")
     each = open_.select("s", F.explode("x").alias("w"))
     known = scratch.put(each.groupBy("w").agg(F.count("*").alias("f")).where("f > 1"), "known")
-    rare = each.join(known.hint("merge"), "w").groupBy("s").agg(F.array_sort(F.collect_list(F.struct("f", "w"))).alias("ws"))
+    rare = near(each.join(known.hint("merge"), "w")).groupBy("s").agg(F.array_sort(F.collect_list(F.struct("f", "w"))).alias("ws"))
     # Shingles that no other of these sets has come first; the smallest set that one is similar to has least * n.
-    rare = open_.select("s", "n", "c").join(rare.hint("merge"), "s").select("s", "n", "c", F.posexplode("ws").alias("i", "e"), (F.col("n") - F.size("ws")).alias("alone"))
+    rare = open_.select("s", "n", "c").join(near(rare).hint("merge"), "s").select("s", "n", "c", F.posexplode("ws").alias("i", "e"), (F.col("n") - F.size("ws")).alias("alone"))
     rare = rare.select(F.col("e.w").alias("w"), "s", "n", "c", (F.col("n") - F.col("alone") - F.col("i")).alias("left")).where(F.col("left") >= F.ceil(F.col("n") * F.lit(least) - 1e-9))
     rare = scratch.put(rare, "rare")
     l, r = (rare.select("w", *[F.col(x).alias(f"{side}_{x}") for x in ("s", "n", "c", "left")]) for side in "lr")
@@ -226,8 +229,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, least: float = 0.8, id_col:
 
     # Their pairs are compared bucket by bucket, in pairs of blocks, which give back links only.
     sizes = scratch.put(alive.groupBy("w").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("k")), "sizes")
-    rows = alive.join(sizes.hint("merge"), "w").withColumn("own", F.pmod(F.xxhash64("s"), "k").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+    rows = near(alive.join(sizes.hint("merge"), "w")).withColumn("own", F.pmod(F.xxhash64("s"), "k").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
     rows = rows.select("w", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "s", "c").join(sets.hint("merge"), "s")
+    rows = near(rows)
     links.append(scratch.put(rows.groupBy("w", "i", "j").applyInPandas(_block(least), "a long, b long"), "links"))
     if not links[-1].isEmpty():
         roots = scratch.put(components(reduce(DataFrame.union, links), scratch), "roots")
@@ -237,4 +241,4 @@ def near_duplicates(docs: DataFrame, words: int = 5, least: float = 0.8, id_col:
     rooted = scratch.put(distinct.join(roots.withColumnRenamed("node", "s"), "s", "left").select("s", "first_doc", F.coalesce("root", "s").alias("root")), "rooted")
     lowest = scratch.put(rooted.groupBy("root").agg(F.min("first_doc").alias("component_id")), "least")
     classes = scratch.put(rooted.join(lowest, "root").select("s", "component_id"), "classes")
-    return sketch.select("doc_id", "s").join(classes, "s").select("doc_id", "component_id")
+    return near(sketch.select("doc_id", "s").join(classes, "s").select("doc_id", "component_id"))

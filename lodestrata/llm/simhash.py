@@ -213,9 +213,9 @@ def links(distinct: DataFrame, scratch: Scratch, radius: int = 3) -> DataFrame:
     # Sizes are few rows: at most one a leaf, then one a block of bits of a large leaf that is still too large.
     many = F.col("count") > SHARD_ROWS
     large = scratch.put(entries.groupBy("leaf").count().where(many).select("leaf"), "large")
-    got = entries.join(large.hint("merge"), "leaf", "left_anti").groupBy("leaf").applyInPandas(link, "a long, b long")
     if large.isEmpty():
-        return got
+        return entries.groupBy("leaf").applyInPandas(link, "a long, b long")
+    got = entries.join(large.hint("merge"), "leaf", "left_anti").groupBy("leaf").applyInPandas(link, "a long, b long")
     signed = lambda x: x - (1 << 64) if x >> 63 else x
     parts = F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(signed(x)).cast("long")) for x in blocks(radius + 1)])).alias("t", "v")
     # A fingerprint of several large leaves stands once in each block's table.
@@ -240,9 +240,10 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 3, id_col: st
     """
     scratch = Scratch(docs.sparkSession, "simhash")
     own = scratch.put(fingerprints(docs, words, id_col, text_col), "fingerprints")
+    scratch.sized(own.count())
     distinct = scratch.put(own.groupBy("fp").agg(F.min("doc_id").alias("first_doc")), "distinct")
     roots = scratch.put(components(links(distinct, scratch, radius), scratch), "roots")
     rooted = scratch.put(distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_doc", F.coalesce("root", "fp").alias("root")), "rooted")
     least = scratch.put(rooted.groupBy("root").agg(F.min("first_doc").alias("component_id")), "least")
     classes = scratch.put(rooted.join(least, "root").select("fp", "component_id"), "classes")
-    return own.join(classes, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return scratch.near(own.join(classes, "fp")).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

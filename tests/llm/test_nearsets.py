@@ -1,10 +1,11 @@
 """Near copies by 5-word shingles against brute force, alone and as the pipeline's stage."""
 
+import os
 import random
 import re
 
 import corpus_pipeline
-from lodestrata.llm import nearsets
+from lodestrata.llm import nearsets, scratch
 
 
 def brute_set(text):
@@ -72,3 +73,17 @@ def test_the_stage_drops_near_copies_whose_fingerprints_differ(spark):
     want = brute_classes(rows)
     got = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
     assert {r["doc_id"] for r in got.collect()} == set(want.values())
+
+
+def test_small_tables_take_few_tasks(spark, many_partitions):
+    rng = random.Random(9)
+    base = rng.choices("abcdefghijklmnop", k=120)
+    rows = [(i, " ".join(base[:i] + ["zz"] + base[i:] if i else base)) for i in range(60)] + [(100 + i, " ".join(rng.choices("qrstuvwxyz", k=60))) for i in range(60)]
+    mark = scratch.Scratch.mark()
+    got = {r["doc_id"]: r["component_id"] for r in nearsets.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)).collect()}
+    assert got == {i: 0 if i < 100 else i for i, _ in rows}
+    tables = [f for s in scratch.Scratch._made[mark:] for f in os.listdir(s.root.removeprefix("file://"))]
+    files = [f for s in scratch.Scratch._made[mark:] for _, _, names in os.walk(s.root.removeprefix("file://")) for f in names if f.endswith(".parquet")]
+    assert len(files) <= len(tables) * 2 * spark.sparkContext.defaultParallelism
+    assert max(int(f.split("-")[1]) for f in files) < 2 * spark.sparkContext.defaultParallelism
+    scratch.Scratch.close_since(mark)

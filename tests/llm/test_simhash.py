@@ -132,3 +132,23 @@ def test_scratch_is_the_shared_folder(spark):
     s.drop(df)
     with pytest.raises(Exception):
         spark.read.parquet(df._scratch).where(F.col("id") > 0).count()
+
+
+def test_components_in_rounds_and_at_once(spark):
+    """The driver's way for few edges gives what the rounds give, of hubs, a path and repeated edges."""
+    rng = random.Random(4)
+    edges = [(i, i - 1) for i in range(2, 40)] + [(99, k) for k in range(60, 99)] + [(rng.randrange(200, 300), rng.randrange(200, 300)) for _ in range(60)] + [(3, 3), (None, 7), (-5, 2**62)] * 2
+    df = spark.createDataFrame(edges, "a long, b long")
+    s = scratch.Scratch(spark, "t")
+    rounds, once = ({tuple(r) for r in components.components(df, s, few=n).collect()} for n in (0, components.FEW))
+    assert rounds == once and len(once) == len({n for n, _ in once})
+
+
+def test_small_tables_take_few_tasks(spark, many_partitions):
+    """A table of few rows isn't written by as many tasks as the session's shuffles have partitions."""
+    s = scratch.Scratch(spark, "t")
+    s.sized(500)
+    df = s.put(spark.range(2000).groupBy((F.col("id") % 500).alias("k")).count(), "x")
+    assert len(df.inputFiles()) == 2 * spark.sparkContext.defaultParallelism and df.count() == 500
+    s.sized(10**9)
+    assert len(s.put(spark.range(9000).groupBy((F.col("id") % 3000).alias("k")).count(), "y").inputFiles()) == 64
