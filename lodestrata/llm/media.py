@@ -28,7 +28,7 @@ from __future__ import annotations
 
 import zlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +50,8 @@ CHECK, TURNS, APARTS = 12, (10, 14), 8
 ROUNDS = 2
 #: Rows of a bucket up to which it is looked through for rows without a partner; larger ones keep all rows.
 LOOK = 4096
+#: Rows that count as one image's when tasks are shared out.
+TABLE_ROWS = 8
 #: Pixels of a level that are worked on at once, besides what surrounds them.
 BAND = 1 << 20
 
@@ -423,7 +425,7 @@ def _read(geom: bytes, bits: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(geom, np.float32).reshape(-1, 4), np.frombuffer(bits, np.uint8).reshape(-1, 32)
 
 
-def _linked(pairs: DataFrame, shared: DataFrame) -> DataFrame:
+def _linked(pairs: DataFrame, shared: DataFrame, near: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Those of the pairs (a, b) that agree; ``shared`` has the points of every m in a shared bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -435,7 +437,7 @@ def _linked(pairs: DataFrame, shared: DataFrame) -> DataFrame:
 
     # A leader may be in very many pairs: adaptive execution splits it, and its points are sent once for each part.
     side = lambda k, x: shared.select(F.col("m").alias(k), F.col("geom").alias(f"{x}g"), F.col("bits").alias(f"{x}b")).hint("merge")
-    return pairs.join(side("b", "r"), "b").join(side("a", "l"), "a").select("a", "b", "lg", "lb", "rg", "rb").mapInArrow(run, "a long, b long")
+    return near(pairs.join(side("b", "r"), "b")).join(side("a", "l"), "a").select("a", "b", "lg", "lb", "rg", "rb").mapInArrow(run, "a long, b long")
 
 
 def _pairs(x: str, y: str, rows: DataFrame) -> DataFrame:
@@ -455,6 +457,8 @@ def copies(images: DataFrame, id_col: str = "id", media_col: str = "media") -> D
     """
     scratch = Scratch(images.sparkSession, "media")
     own = scratch.put(describe(images, id_col, media_col).withColumn("m", F.xxhash64("digest")), "points")
+    scratch.sized(own.count() * TABLE_ROWS)
+    near = scratch.near
     table = scratch.put(_partnered(_table(own)), "buckets")
     table = table.select(F.shiftright("row", 24).alias("key"), "m", "bits", F.col("row").bitwiseAND(F.lit(0xFFFFFF)).alias("geo"), "lead")
     named = scratch.put(table.select("m").distinct(), "named")
@@ -465,12 +469,12 @@ def copies(images: DataFrame, id_col: str = "id", media_col: str = "media") -> D
     def classed() -> DataFrame:
         """The buckets that hold several classes, with the main class of each."""
         rows = table.withColumn("c", F.col("m")) if roots is None else table.join(_small(roots.withColumnRenamed("node", "m")), "m", "left").withColumn("c", F.coalesce("root", "m")).drop("root")
-        main = rows.groupBy("key", "c").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("c", F.struct("n", "c")).alias("main"), F.count("*").alias("n"))
-        return scratch.put(rows.join(main.where("n > 1").select("key", "main").hint("merge"), "key"), "classed")
+        main = near(rows.groupBy("key", "c").agg(F.count("*").alias("n"))).groupBy("key").agg(F.max_by("c", F.struct("n", "c")).alias("main"), F.count("*").alias("n"))
+        return scratch.put(rows.join(near(main.where("n > 1").select("key", "main")).hint("merge"), "key"), "classed")
 
     def merge(pairs: DataFrame) -> bool:
         nonlocal roots
-        links.append(scratch.put(_linked(scratch.put(pairs, "pairs"), shared), "links"))
+        links.append(scratch.put(_linked(scratch.put(pairs, "pairs"), shared, near), "links"))
         if not links[-1].isEmpty():
             every = links[0]
             for x in links[1:]:
@@ -481,29 +485,29 @@ def copies(images: DataFrame, id_col: str = "id", media_col: str = "media") -> D
 
     def best(tries: DataFrame) -> DataFrame:
         """Each image with the one that leads it in most buckets."""
-        tries = tries.groupBy("m", "lead").agg(F.count("*").alias("n"))
-        return _pairs("m", "lead", tries.groupBy("m").agg(F.max_by("lead", F.struct("n", "lead")).alias("lead")))
+        tries = near(tries.groupBy("m", "lead").agg(F.count("*").alias("n")))
+        return _pairs("m", "lead", near(tries.groupBy("m").agg(F.max_by("lead", F.struct("n", "lead")).alias("lead"))))
 
     l, r = F.col("l.m"), F.col("r.m")
     on = merge(best(table.where("lead <> m")))
     table = table.drop("lead")
     for turn in range(1, ROUNDS if on else 1):
         rows = classed()
-        lead = rows.groupBy("key").agg(F.min_by("m", F.xxhash64("m", F.lit(turn))).alias("m"))
+        lead = near(rows.groupBy("key").agg(F.min_by("m", F.xxhash64("m", F.lit(turn))).alias("m")))
         lead = scratch.put(rows.join(lead.hint("merge"), ["key", "m"]), "leads")
         tries = rows.alias("r").join(lead.alias("l").hint("merge"), (F.col("l.key") == F.col("r.key")) & (F.col("l.c") != F.col("r.c")) & _alike("l", "r"))
-        if not merge(best(tries.select(r.alias("m"), l.alias("lead")))):
+        if not merge(best(near(tries.select(r.alias("m"), l.alias("lead"))))):
             break
     rows = classed()
     rest = rows.where("c <> main").alias("l").join(rows.alias("r").hint("merge"), (F.col("l.key") == F.col("r.key")) & (F.col("l.c") != F.col("r.c")) & _alike("l", "r"))
-    merge(_pairs("m", "n", rest.select(l.alias("m"), r.alias("n"))))
+    merge(_pairs("m", "n", near(rest.select(l.alias("m"), r.alias("n")))))
 
-    media = own.groupBy("digest").agg(F.min("id").alias("first"), F.first("m").alias("m"), F.min("n_points").alias("n_points"))
+    media = near(own.groupBy("digest").agg(F.min("id").alias("first"), F.first("m").alias("m"), F.min("n_points").alias("n_points")))
     media = media.withColumn("root", F.col("m")) if roots is None else media.join(roots.withColumnRenamed("node", "m"), "m", "left").withColumn("root", F.coalesce("root", "m"))
     whole = scratch.put(media, "media")
     least = scratch.put(whole.groupBy("root").agg(F.min("first").alias("class_id"), F.count("*").alias("class_media")), "least")
     whole = scratch.put(whole.join(least, "root").select("digest", "n_points", "class_id", "class_media"), "classes")
-    return own.select("id", "digest").join(whole, "digest").select("id", "n_points", "class_id", "class_media")
+    return near(own.select("id", "digest").join(whole, "digest").select("id", "n_points", "class_id", "class_media"))
 
 
 def _small(df: DataFrame, rows: int = 1 << 22) -> DataFrame:

@@ -1,4 +1,5 @@
 import itertools
+import os
 import random
 import struct
 import zlib
@@ -7,6 +8,7 @@ import numpy as np
 import pytest
 
 from lodestrata.llm import media as m
+from lodestrata.llm import scratch
 
 
 def pgm(x):
@@ -218,3 +220,15 @@ def test_postcards(spark):
     df = spark.createDataFrame([(1, [0.5] * 64), (2, [0.5] * 64), (3, None), (4, []), (5, [float("nan")] * 3)], "vec_id long, embedding array<float>")
     got = {r["id"]: r["media"] for r in m.postcards(df).collect()}
     assert got[1] == got[2] and m.decode(got[1]).shape == (72, 72) and got[3] is None and got[4] is None and m.decode(got[5]).shape == (72, 72)
+
+
+def test_small_tables_take_few_tasks(spark, many_partitions):
+    rng = np.random.default_rng(4)
+    base = rng.normal(0, 1, 32)
+    rows = [(i, [float(x) for x in (base + rng.normal(0, 0.02, 32) if i < 30 else rng.normal(0, 1, 32))]) for i in range(60)]
+    mark = scratch.Scratch.mark()
+    got = {r["id"]: r["class_id"] for r in m.copies(m.postcards(spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(2))).collect()}
+    assert got == {i: 0 if i < 30 else i for i, _ in rows}
+    files = [f for s in scratch.Scratch._made[mark:] for _, _, names in os.walk(s.root.removeprefix("file://")) for f in names if f.endswith(".parquet")]
+    assert max(int(f.split("-")[1]) for f in files) < 2 * spark.sparkContext.defaultParallelism
+    scratch.Scratch.close_since(mark)
