@@ -11,8 +11,8 @@ go at the ends. It is used only if the tokenizer's own file says that white
 space is never part of a token (``blank_free``); else the digest is the text's.
 
 For such a tokenizer a text's count is also the sum over the pieces that white
-space divides, so each worker keeps the counts of pieces that it has met and
-gives only new ones to the library.
+space divides, so each worker keeps the counts of pieces that it has met, in
+this task or an earlier one, and gives only new ones to the library.
 """
 
 from __future__ import annotations
@@ -91,6 +91,18 @@ class Counter:
         return [sum(map(known.__getitem__, own)) for own in pieces]
 
 
+_last: dict[tuple[str, str], Counter] = {}
+
+
+def kept_counter(path: str, blob: bytes, version: str) -> Counter:
+    """The process's counter of a tokenizer, with the pieces that earlier tasks have met; only the last tokenizer's is kept."""
+    key = os.path.splitext(path)[1], version
+    if key not in _last:
+        _last.clear()
+        _last[key] = Counter(path, blob)
+    return _last[key]
+
+
 def _blank_free(spec: dict) -> bool:
     """Whether the file drops all white space between pieces, before its model sees them.
 
@@ -163,7 +175,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache_dir: str | None = None,
     blob = spark.sparkContext.broadcast(open(tokenizer, "rb").read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Counter(tokenizer, blob.value)
+        own = kept_counter(tokenizer, blob.value, version)
         for b in batches:
             got = b.column(1).cast(pa.binary()).to_pylist()
             n = np.concatenate([np.zeros(0, np.int64), *(np.array(own.counts(got[i : i + 256]), np.int64) for i in range(0, len(got), 256))])

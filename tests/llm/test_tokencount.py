@@ -48,3 +48,12 @@ def test_cache_encodes_each_content_once(spark, tmp_path, monkeypatch):
     t.count_tokens(df, str(P.path("piece_bpe_32k.model")), cache)
     assert spark.read.parquet(cache).select("version").distinct().count() == 2
     assert t.count_tokens(df.limit(0), WORD).count() == 0
+
+
+def test_a_process_keeps_its_counter_for_later_tasks():
+    blob = open(WORD, "rb").read()
+    first = t.kept_counter(WORD, blob, "v1")
+    first.counts([b"some words"])
+    again = t.kept_counter(WORD, blob, "v1")
+    assert again is first and b"words" in again.known
+    assert t.kept_counter(WORD, blob, "v2") is not first and len(t._last) == 1
